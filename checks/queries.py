@@ -35,7 +35,7 @@ WEEK = CLOCK.report_week
 
 def comparable(df):
     """Doubles to a fixed number of decimals, timestamps without zone."""
-    shown = {"double": lambda c: F.round(c, DIGITS),
+    shown = {"double": lambda c: F.round(c, DIGITS) + 0.0,  # no -0.0
              "timestamp": lambda c: c.cast("timestamp_ntz"),
              "int": lambda c: c.cast("bigint")}
     return df.select(*[

@@ -33,12 +33,17 @@ def segment_daily(feed, messages, first, last, how="inner", exact=True):
 
     The days are cut on *both* inputs before aggregating: a filter after the
     join would leave one side reading its whole history. The inner join drops
-    segments seen in one product only; `how="full"` keeps them.
+    segments seen in one product only; `how="full"` keeps them, counting 0 for
+    the other product.
     """
+    def count(name):
+        return F.coalesce(name, F.lit(0)).alias(name)
+
     return (message_segments(messages, first, last, exact)
             .join(feed_segments(feed, first, last, exact), list(SEGMENT), how)
-            .select(*SEGMENT, "messages", "messages_per_user", "messenger_users",
-                    "likes", "views", "likes_per_user", "views_per_user", "feed_users"))
+            .select(*SEGMENT, count("messages"), "messages_per_user", count("messenger_users"),
+                    count("likes"), count("views"), "likes_per_user", "views_per_user",
+                    count("feed_users")))
 
 
 def per_user_daily_means(segments):

@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import half_even
 from tidemark.operators.bands import add_band, latest_points
 from tidemark.operators.intervals import (FEED_METRICS, MESSENGER_METRICS, as_series,
                                           interval_metrics)
@@ -59,4 +60,4 @@ def with_message(points):
     shown = F.when(whole, F.floor("value").cast("string")).otherwise(
         F.col("value").cast("string"))
     return points.withColumn("message", F.format_string(
-        ALERT, "metric", shown, F.bround("deviation", 2).cast("string")))
+        ALERT, "metric", shown, F.coalesce(half_even("deviation").cast("string"), F.lit("nan"))))
