@@ -1,0 +1,232 @@
+import hashlib
+import itertools
+import math
+from datetime import datetime
+
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import plan_of, rows
+from tidemark.functions.pvalues import (normal_two_sided, rank_sum_two_sided,
+                                        student_two_sided)
+from tidemark.functions.scalars import hash_bucket
+from tidemark.operators.bootstrap import (bootstrap_by_cell, bootstrap_by_user,
+                                          poisson_thresholds)
+from tidemark.operators.experiment import (bucketed, experiment_users, group_ctr, linearized,
+                                           smoothed_ctr)
+from tidemark.operators.mannwhitney import mann_whitney_test
+from tidemark.operators.welch import welch_test
+from tidemark.plans.experiment import ctr_experiment, linearized_experiment
+from tidemark.sources.shared_folder import stored
+
+START, END = datetime(2024, 1, 8), datetime(2024, 1, 14)
+quick = settings(max_examples=8, deadline=None,
+                 suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@pytest.fixture
+def users(feed):
+    return experiment_users(feed, START, END, (0, 1, 2, 3))
+
+
+@pytest.fixture
+def samples(spark):
+    """Two groups of values, 1 and 2."""
+    def build(a, b):
+        return spark.createDataFrame(
+            [(g, None if x is None else float(x)) for g, xs in ((1, a), (2, b)) for x in xs],
+            "exp_group bigint, x double")
+    return build
+
+
+def test_end_instant_is_included_and_other_groups_are_not(make_feed):
+    feed = make_feed([dict(user_id=1, time=END), dict(user_id=2, time=datetime(2024, 1, 14, 0, 0, 1)),
+                      dict(user_id=3, time=START), dict(user_id=4, time=START, exp_group=2)])
+    assert {r.user_id for r in experiment_users(feed, START, END, (1,)).collect()} == {1, 3}
+
+
+def test_smoothing_and_linearization(make_feed):
+    feed = make_feed([dict(user_id=1)] * 4 + [dict(user_id=1, action="like")] * 2
+                     + [dict(user_id=2, action="like"), dict(user_id=3, exp_group=2)])
+    users = experiment_users(feed.withColumn("time", F.lit(START).cast("timestamp")),
+                             START, END, (1, 2))
+    assert {r.exp_group: r.global_ctr for r in group_ctr(users, (1, 2)).collect()} == {
+        1: 0.75, 2: 0.0}
+    smooth = {r.user_id: r.smoothed_ctr for r in smoothed_ctr(users, (1, 2)).collect()}
+    assert smooth == pytest.approx({1: 5.75 / 9, 2: 4.75 / 5, 3: 0.0})
+    lin = {r.user_id: r.lin_likes for r in linearized(users, 1).collect()}
+    assert lin == pytest.approx({1: 2 - 0.75 * 4, 2: 1.0, 3: -0.75})
+
+
+def test_linearized_control_has_mean_zero(users):
+    test = rows(welch_test(linearized(users, 0), "lin_likes", (0, 3)))[0]
+    assert test["mean_a"] == pytest.approx(0, abs=1e-12)
+
+
+def test_plain_aggregate_is_shuffled_once(users):
+    df = welch_test(linearized(users.where("exp_group in (0, 3)"), 0), "lin_likes", (0, 3))
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "CartesianProduct" not in final
+
+
+# ------------------------------------------------------------------ t-test
+
+
+def test_student_tail_known_values():
+    # Exact: one degree of freedom is the Cauchy distribution, two has a closed form.
+    for t in (0.1, 1.0, 3.0, 40.0):
+        assert student_two_sided(t, 1) == pytest.approx(1 - 2 * math.atan(t) / math.pi, rel=1e-10)
+        assert student_two_sided(-t, 2) == pytest.approx(1 - t / math.sqrt(2 + t * t), rel=1e-9)
+    assert student_two_sided(2.0, 1e9) == pytest.approx(math.erfc(2 / math.sqrt(2)), rel=1e-6)
+
+
+def test_student_tail_against_the_bundled_statistics_library(spark):
+    # Test oracle only: the distribution class on Spark's own class path.
+    make = spark._jvm.org.apache.commons.math3.distribution.TDistribution
+    for df, t in itertools.product((1.5, 4, 33.3, 1e4), (0.01, 0.7, 2.5, 9)):
+        assert student_two_sided(t, df) == pytest.approx(
+            2 * make(float(df)).cumulativeProbability(float(-t)), rel=1e-8, abs=1e-14)
+
+
+def test_welch_by_hand(samples):
+    test = rows(welch_test(samples([1, 2, 3, 4, None], [2, 4, 6]), "x", (1, 2)))[0]
+    assert (test["n_a"], test["n_b"], test["n_dropped"]) == (4, 3, 1)
+    a, b = (5 / 3) / 4, 4 / 3
+    assert test["statistic"] == pytest.approx((2.5 - 4) / math.sqrt(a + b))
+    assert test["df"] == pytest.approx((a + b) ** 2 / (a * a / 3 + b * b / 2))
+
+
+def test_welch_without_variance(samples):
+    apart = rows(welch_test(samples([1, 1], [2, 2]), "x", (1, 2)))[0]
+    assert (apart["statistic"], apart["p_value"]) == (-math.inf, 0.0)
+    same = rows(welch_test(samples([1, 1], [1, 1]), "x", (1, 2)))[0]
+    assert same["statistic"] is None and same["p_value"] is None
+
+
+# ------------------------------------------------------------ Mann-Whitney
+
+
+def pairs_won(a, b):
+    return sum((x > y) + (x == y) / 2 for x in a for y in b)
+
+
+@quick
+@given(a=st.lists(st.integers(0, 12), min_size=1, max_size=40),
+       b=st.lists(st.integers(0, 12), min_size=1, max_size=40),
+       n_ranges=st.sampled_from([1, 3, 256]))
+def test_u_counts_pairs(samples, a, b, n_ranges):
+    test = rows(mann_whitney_test(samples(a, b), "x", (1, 2),
+                                  n_ranges=n_ranges))[0]
+    assert test["u_a"] == pairs_won(a, b)
+    assert test["u_a"] + test["u_b"] == len(a) * len(b)
+    assert (test["n_a"], test["n_b"], test["n_dropped"]) == (len(a), len(b), 0)
+
+
+def test_normal_approximation_with_ties(samples):
+    source = np.random.default_rng(3)
+    a, b = source.integers(0, 20, 60).astype(float), source.integers(3, 23, 50).astype(float)
+    test = rows(mann_whitney_test(samples(a.tolist() + [None], b.tolist()), "x", (1, 2)))[0]
+    ties = pd.Series(np.concatenate([a, b])).value_counts()
+    n = len(a) + len(b)
+    sd = math.sqrt(len(a) * len(b) / 12 * (n + 1 - (ties ** 3 - ties).sum() / (n * (n - 1))))
+    u = max(test["u_a"], test["u_b"])
+    z = (u - len(a) * len(b) / 2 - 0.5) / sd
+    assert (test["method"], test["n_dropped"]) == ("asymptotic", 1)
+    assert test["z"] == pytest.approx(z)
+    assert test["p_value"] == pytest.approx(normal_two_sided(z))
+
+
+def test_small_samples_without_ties_are_exact(samples):
+    a, b = [1.0, 4.0, 9.0], [2.0, 3.0, 5.0, 6.0, 7.0, 8.0, 10.0, 11.0, 12.0]
+    test = rows(mann_whitney_test(samples(a, b), "x", (1, 2)))[0]
+    everything = sorted(a + b)
+    u = max(test["u_a"], test["u_b"])
+    outcomes = [pairs_won(chosen, [v for v in everything if v not in chosen])
+                for chosen in itertools.combinations(everything, len(a))]
+    expected = min(1, 2 * sum(o >= u for o in outcomes) / len(outcomes))
+    assert test["method"] == "exact"
+    assert test["p_value"] == pytest.approx(expected)
+
+
+def test_exact_distribution_sums_to_one():
+    assert rank_sum_two_sided(0, 8, 40) == 1.0
+    assert rank_sum_two_sided(8 * 40, 8, 40) == pytest.approx(2 / math.comb(48, 8))
+
+
+def test_all_values_tied(samples):
+    test = rows(mann_whitney_test(samples([5.0] * 20, [5.0] * 30), "x", (1, 2)))[0]
+    assert test["u_a"] == test["u_b"] == 300 and test["z"] is None and test["p_value"] is None
+
+
+# --------------------------------------------------------- buckets, bootstrap
+
+
+def test_buckets_equal_the_integer_definition(spark):
+    ids = spark.range(0, 3000).withColumnRenamed("id", "user_id")
+    for salt, n in (("bucket", 50), ("other", 2 ** 31 - 1), ("x", 1)):
+        found = ids.select("user_id", hash_bucket("user_id", salt, n).alias("b")).collect()
+        assert all(r.b == int(hashlib.md5(f"{r.user_id}-{salt}".encode()).hexdigest(), 16) % n
+                   for r in found)
+
+
+def test_bucket_count_must_fit():
+    with pytest.raises(ValueError):
+        hash_bucket("user_id", n_buckets=2 ** 31)
+
+
+def test_bucket_sums_are_group_sums(users):
+    sums = bucketed(users).groupBy("exp_group").agg(F.sum("likes"), F.sum("views"))
+    totals = group_ctr(users, (0, 1, 2, 3)).select("exp_group", "likes", "views")
+    assert sorted(map(tuple, sums.collect())) == sorted(map(tuple, totals.collect()))
+
+
+def test_poisson_thresholds_cover_the_tail():
+    steps = np.diff([0, *poisson_thresholds(), 2 ** 32]) / 2 ** 32
+    expected = [math.exp(-1) / math.factorial(k) for k in range(len(steps))]
+    np.testing.assert_allclose(steps, expected, atol=1e-9)
+    assert len(steps) >= 12
+
+
+@pytest.mark.parametrize("draw", [
+    lambda u: bootstrap_by_user(u, 200, 7), lambda u: bootstrap_by_user(u, 200, 7, "md5"),
+    lambda u: bootstrap_by_cell(u, 200, 7)])
+def test_bootstrap_does_not_depend_on_partitioning(users, draw):
+    first = rows(draw(users), "exp_group", "replicate")
+    assert rows(draw(users.repartition(13, "likes")), "exp_group", "replicate") == first
+    assert len(first) == 800
+
+
+def test_bootstrap_variants_agree_in_distribution(spark):
+    source = np.random.default_rng(4)
+    views = source.integers(1, 8, 3000)
+    frame = pd.DataFrame({"exp_group": 1, "user_id": range(3000),
+                          "likes": source.binomial(views, 0.3), "views": views})
+    users = spark.createDataFrame(frame)
+    ctr = frame.likes.sum() / frame.views.sum()
+    # Linearisation of the ratio: the spread a Poisson bootstrap must show.
+    spread = math.sqrt(((frame.likes - ctr * frame.views) ** 2).sum()) / frame.views.sum()
+    for drawn in (bootstrap_by_user(users, 400), bootstrap_by_user(users, 400, 1, "md5"),
+                  bootstrap_by_cell(users, 400)):
+        values = drawn.toPandas()["global_ctr"]
+        assert values.mean() == pytest.approx(ctr, abs=4 * spread / 20)
+        assert values.std() == pytest.approx(spread, rel=0.2)
+
+
+# ---------------------------------------------------------------- reports
+
+
+def test_experiment_tables(users):
+    kept = stored(users, "ab-users")
+    ctr = rows(ctr_experiment(kept), "metric", "test")
+    assert [(r["metric"], r["test"]) for r in ctr] == [
+        (m, t) for m in ("bucket_ctr", "ctr", "smoothed_ctr")
+        for t in ("mann_whitney_u", "welch_t")]
+    assert ctr == rows(ctr_experiment(users), "metric", "test")
+    lin = rows(linearized_experiment(kept), "metric")
+    assert [r["metric"] for r in lin] == ["ctr_0_3", "ctr_1_2", "lin_likes_0_3",
+                                          "lin_likes_1_2"]

@@ -11,6 +11,7 @@ import sys
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -72,12 +73,12 @@ def rank_sum_two_sided(u, n_a, n_b):
     return min(1.0, 2 * upper / math.comb(short + long, short))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([student_two_sided(x, y) for x, y in zip(t, df)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def rank_sum_p(z: pd.Series, u: pd.Series, n_a: pd.Series, n_b: pd.Series,
                exact: pd.Series) -> pd.Series:
     return pd.Series(

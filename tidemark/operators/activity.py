@@ -19,9 +19,7 @@ MEASURES = ("views", "likes", "messages_received", "messages_sent",
 
 def user_feed_stats(feed):
     """Likes and views per (user, os, gender, age)."""
-    return _as_dimensions(
-        feed.groupBy("user_id", *DEMOGRAPHICS)
-        .agg(count_action("like").alias("likes"), count_action("view").alias("views")))
+    return _as_dimensions(_feed_counts(feed))
 
 
 def received_per_user(messages, exact=True):
@@ -39,10 +37,7 @@ def received_per_user(messages, exact=True):
 
 def sent_per_user(messages, exact=True):
     """Messages and distinct recipients per (user, os, gender, age)."""
-    return _as_dimensions(
-        messages.groupBy("user_id", *DEMOGRAPHICS)
-        .agg(F.count("user_id").alias("messages_sent"),
-             distinct_users("reciever_id", exact).alias("users_sent")))
+    return _as_dimensions(_sent_counts(messages, exact))
 
 
 def user_message_stats(messages, exact=True):
@@ -61,12 +56,14 @@ def user_activity(feed, messages, exact=True):
     Same rows as the feed stats inner-joined with `user_message_stats` on the
     four keys: that join discards recipients who never send, so the outer join
     shrinks to a left join. Doing the four-key join first reuses the
-    partitioning both aggregates already have; only per-user rows move again.
+    partitioning both aggregates already have, as long as the keys keep their
+    source types until after it; only per-user rows move again.
     """
-    both = user_feed_stats(feed).join(
-        sent_per_user(messages, exact), ["user_id", *DEMOGRAPHICS], "inner")
-    return (both.join(received_per_user(messages, exact), "user_id", "left")
-            .select("user_id", *DEMOGRAPHICS, *[_or_zero(c) for c in MEASURES]))
+    both = _feed_counts(feed).join(
+        _sent_counts(messages, exact), ["user_id", *DEMOGRAPHICS], "inner")
+    return _as_dimensions(
+        both.join(received_per_user(messages, exact), "user_id", "left")
+        .select("user_id", *DEMOGRAPHICS, *[_or_zero(c) for c in MEASURES]))
 
 
 def roll_up(activity, dimensions=DEMOGRAPHICS, measures=MEASURES):
@@ -87,6 +84,17 @@ def roll_up(activity, dimensions=DEMOGRAPHICS, measures=MEASURES):
             .where(F.col("dimension_value").isNotNull()))
 
 
+def _feed_counts(feed):
+    return feed.groupBy("user_id", *DEMOGRAPHICS).agg(
+        count_action("like").alias("likes"), count_action("view").alias("views"))
+
+
+def _sent_counts(messages, exact):
+    return messages.groupBy("user_id", *DEMOGRAPHICS).agg(
+        F.count("user_id").alias("messages_sent"),
+        distinct_users("reciever_id", exact).alias("users_sent"))
+
+
 def _as_dimensions(stats):
     """Gender and age become text where they turn into dimension values."""
     return stats.withColumns({c: F.col(c).cast("string") for c in ("gender", "age")})

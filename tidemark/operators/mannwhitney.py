@@ -19,29 +19,32 @@ def mann_whitney_test(df, value, pair, group="exp_group", n_ranges=N_RANGES):
     of the second group lie in lower ranges, so no ranks are joined back.
     """
     first, second = pair
-    kept = df.where(F.col(group).isin(first, second))
-    counts = (kept.where(F.col(value).isNotNull()).groupBy(value)
+    counts = (df.where(F.col(group).isin(first, second)).groupBy(value)
               .agg(F.count_if(F.col(group) == first).alias("n_a"),
                    F.count_if(F.col(group) == second).alias("n_b")))
-    dropped = kept.agg(F.count_if(F.col(value).isNull())).scalar()
+    both = F.col("n_a") + F.col("n_b")
+    ranged = with_value_range(counts, value, both > 0, n_ranges)
+
+    # Missing values form one row; set it aside.
+    missing = F.col(value).isNull()
+    ranged = ranged.select(value, RANGE, F.when(missing, both).otherwise(0).alias("n_dropped"), *[
+        F.when(missing, 0).otherwise(F.col(c)).alias(c) for c in ("n_a", "n_b")])
 
     # Doubles from here on: products of counts outgrow a long.
-    tied = (F.col("n_a") + F.col("n_b")).cast("double")
-    ranges = (with_value_range(counts, value, n_ranges)
-              .withColumn("lower_b", before("n_b", RANGE, order=value))
+    tied = both.cast("double")
+    ranges = (ranged.withColumn("lower_b", before("n_b", RANGE, order=value))
               .groupBy(RANGE)
-              .agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"),
+              .agg(*[F.sum(c).alias(c) for c in ("n_a", "n_b", "n_dropped")],
                    F.sum(F.col("n_a").cast("double") * (F.col("lower_b") + F.col("n_b") / 2.0)
                          ).alias("wins"),
                    F.sum(tied * tied * tied - tied).alias("ties")))
     # One row per range: at most `n_ranges`, so this window may use one task.
     ordered = ranges.withColumn("ranges_below_b", before("n_b", F.lit(0), order=RANGE))
     totals = ordered.agg(
-        F.coalesce(F.sum("n_a"), F.lit(0)).alias("n_a"),
-        F.coalesce(F.sum("n_b"), F.lit(0)).alias("n_b"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_a", "n_b", "n_dropped")],
         F.sum(F.col("wins") + F.col("n_a").cast("double") * F.col("ranges_below_b")
               ).alias("u_a"),
-        F.sum("ties").alias("ties")).withColumn("n_dropped", dropped)
+        F.sum("ties").alias("ties"))
 
     n_a, n_b = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = n_a + n_b

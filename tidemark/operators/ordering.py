@@ -14,15 +14,20 @@ N_RANGES = 256
 RANGE = "value_range"
 
 
-def with_value_range(counts, value, n_ranges=N_RANGES):
-    """Adds the ordinal of the range that holds each distinct value."""
+def with_value_range(counts, value, seen, n_ranges=N_RANGES):
+    """Adds the ordinal of the range that holds each value of `counts`.
+
+    `seen` is a condition true on every row that uses all of its counts: it
+    keeps the aggregate behind the cut points identical to the one behind the
+    result, so that Spark runs it, and shuffles for it, once.
+    """
     if n_ranges == 1:
         return counts.withColumn(RANGE, F.lit(0))
-    cuts = counts.select(value).distinct().agg(F.percentile_approx(
+    cuts = counts.where(seen).agg(F.percentile_approx(
         value, [i / n_ranges for i in range(1, n_ranges)])).scalar()
-    return (counts.withColumn("cuts", cuts)
-            .withColumn(RANGE, F.size(F.filter("cuts", lambda cut: cut < F.col(value))))
-            .drop("cuts"))
+    # Never NULL, so that no derived null check drags this down to single rows.
+    below = F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col(value))), F.lit(0))
+    return counts.withColumn("cuts", cuts).withColumn(RANGE, below).drop("cuts")
 
 
 def before(column, *partition, order):
@@ -40,7 +45,7 @@ def exact_quantiles(df, value, probabilities, by=(), n_ranges=N_RANGES):
     """
     by = list(by)
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
-    ranged = with_value_range(counts, value, n_ranges)
+    ranged = with_value_range(counts, value, F.col("n") > 0, n_ranges)
     offsets = (ranged.groupBy(*by, RANGE).agg(F.sum("n").alias("in_range"))
                .select(*by, RANGE,
                        before("in_range", *by, order=RANGE).alias("range_start"),

@@ -28,4 +28,5 @@ def run_daily_cube(spark, feed, messages, as_of, table, location=None, date_scop
                    append=False):
     """Create the fact table if needed and load the cube of one run."""
     create_daily_activity(spark, table, location)
-    load_daily_activity(daily_cube(feed, messages, as_of, date_scope), table, append)
+    load_daily_activity(daily_cube(feed, messages, as_of, date_scope), table,
+                        AsOf.of(as_of).yesterday, append)

@@ -28,10 +28,11 @@ def feed_week_head(daily):
 
 def feed_latest_message(daily):
     """The most recent day as text: one label and right-aligned value per line."""
-    shown_ctr = F.regexp_replace(F.format_string("%.6f", "CTR"), r"(\.\d+?)0+$", "$1")
+    shown_ctr = F.when(F.col("CTR").isNull(), "NaN").otherwise(
+        F.regexp_replace(F.format_string("%.6f", "CTR"), r"(\.\d+?)0+$", "$1"))
     values = (F.concat(F.col("Date").cast("string"), F.lit(" 00:00:00")),
               F.col("Feed_DAU").cast("string"), F.col("Likes").cast("string"),
-              F.col("Views").cast("string"), F.coalesce(shown_ctr, F.lit("NaN")))
+              F.col("Views").cast("string"), shown_ctr)
     lines = [F.concat(F.rpad(F.lit(label), LABEL_WIDTH, " "),
                       F.lpad(text, VALUE_WIDTH, " "))
              for label, text in zip(LABELS, values)]

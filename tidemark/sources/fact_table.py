@@ -11,21 +11,18 @@ def create_daily_activity(spark, table, location=None):
               f"PARTITIONED BY (event_date){place}")
 
 
-def load_daily_activity(cube, table, append=False):
-    """Load a cube into the table.
+def load_daily_activity(cube, table, day, append=False):
+    """Load the cube of one day into the table.
 
-    The default replaces the dates the cube covers and no others, so a retried
-    run does not count twice. `append=True` adds rows as a plain insert would.
-    The cube holds a few rows per date: one output file is enough.
+    The default replaces that day's partition and no other, so a retried run
+    does not count twice. `append=True` adds rows as a plain insert would. The
+    cube holds a few rows: one output file is enough.
     """
-    rows = conform(cube, DAILY_ACTIVITY)
-    # Inserting by position: the partition column comes last in a stored table.
-    rows = rows.select(*[c for c in rows.columns if c != "event_date"], "event_date").repartition(1)
-    if append:
-        rows.write.insertInto(table)
-    else:
-        (rows.write.option("partitionOverwriteMode", "dynamic")
-         .insertInto(table, overwrite=True))
+    measures = [c for c in DAILY_ACTIVITY.names if c != "event_date"]
+    rows = conform(cube, DAILY_ACTIVITY).select(*measures).repartition(1)
+    cube.sparkSession.sql(
+        f"INSERT {'INTO' if append else 'OVERWRITE'} {table} "
+        f"PARTITION (event_date = DATE '{day}') SELECT * FROM {{rows}}", rows=rows)
 
 
 def read_daily_activity(spark, table):
