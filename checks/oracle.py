@@ -219,41 +219,49 @@ METRIC_COLUMNS = ("date, time, interval, feed_users, likes, views, messenger_use
                   "messages_sent, " + rounded("ctr"))
 
 
-def _points(*names):
+def _points(source, *names):
     return " UNION ALL ".join(
-        f"SELECT '{n}' AS metric, date, time, interval, CAST({n} AS DOUBLE) AS value FROM metrics"
+        f"SELECT '{n}' AS metric, date, time, interval, CAST({n} AS DOUBLE) AS value FROM {source}"
         for n in names)
 
 
-SINGLE = f"""
+def single(source="metrics"):
+    return f"""
 points_single AS (
-  SELECT *, row_number() OVER (PARTITION BY metric ORDER BY time) AS i
-  FROM ({_points("messenger_users", "messages_sent")})),
+  SELECT *, row_number() OVER (PARTITION BY metric, date ORDER BY time) AS i
+  FROM ({_points(source, "messenger_users", "messages_sent")})),
 single AS (
-  SELECT metric, i, value AS smooth FROM points_single WHERE i = 1
+  SELECT metric, date, i, value AS smooth FROM points_single WHERE i = 1
   UNION ALL
-  SELECT p.metric, p.i, 0.85::DOUBLE * p.value + (1 - 0.85::DOUBLE) * s.smooth
-  FROM single s JOIN points_single p ON p.metric = s.metric AND p.i = s.i + 1),
+  SELECT p.metric, p.date, p.i, 0.85::DOUBLE * p.value + (1 - 0.85::DOUBLE) * s.smooth
+  FROM single s JOIN points_single p
+    ON p.metric = s.metric AND p.date = s.date AND p.i = s.i + 1),
 smooth_single AS (
   SELECT metric, date, time, interval, value, smooth
-  FROM points_single JOIN single USING (metric, i))"""
+  FROM points_single JOIN single USING (metric, date, i))"""
+
 
-HOLT = f"""
+def holt(source="metrics"):
+    return f"""
 points_holt AS (
-  SELECT *, row_number() OVER (PARTITION BY metric ORDER BY time) AS i,
-         lead(value) OVER (PARTITION BY metric ORDER BY time) AS following
-  FROM ({_points("views", "feed_users", "likes", "ctr")})),
+  SELECT *, row_number() OVER (PARTITION BY metric, date ORDER BY time) AS i,
+         lead(value) OVER (PARTITION BY metric, date ORDER BY time) AS following
+  FROM ({_points(source, "views", "feed_users", "likes", "ctr")})),
 holt AS (
-  SELECT metric, i, value AS level, following - value AS trend, value AS smooth
+  SELECT metric, date, i, value AS level, following - value AS trend, value AS smooth
   FROM points_holt WHERE i = 1
   UNION ALL
-  SELECT metric, i, level, level - before, level + (level - before)
-  FROM (SELECT p.metric, p.i, h.level AS before,
+  SELECT metric, date, i, level, level - before, level + (level - before)
+  FROM (SELECT p.metric, p.date, p.i, h.level AS before,
                0.35::DOUBLE * p.value + (1 - 0.35::DOUBLE) * (h.level + h.trend) AS level
-        FROM holt h JOIN points_holt p ON p.metric = h.metric AND p.i = h.i + 1)),
+        FROM holt h JOIN points_holt p
+          ON p.metric = h.metric AND p.date = h.date AND p.i = h.i + 1)),
 smooth_holt AS (
   SELECT metric, date, time, interval, value, smooth
-  FROM points_holt JOIN holt USING (metric, i))"""
+  FROM points_holt JOIN holt USING (metric, date, i))"""
+
+
+SINGLE, HOLT = single(), holt()
 
 
 def band(source, frame):
@@ -266,7 +274,7 @@ quartiles AS (
     CASE WHEN count(smooth) OVER recent = 6
          THEN quantile_cont(smooth, 0.25) OVER recent END AS smooth_25
   FROM ({source})
-  WINDOW recent AS (PARTITION BY metric ORDER BY time ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)),
+  WINDOW recent AS (PARTITION BY metric, date ORDER BY time ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)),
 limits AS (
   SELECT *, smooth_75 - smooth_25 AS iqr,
          (value - smooth) / nullif(smooth, 0) * 100 AS deviation,
@@ -278,7 +286,7 @@ banded AS (
     CASE WHEN count(raw_upper) OVER frame = 10 THEN avg(raw_upper) OVER frame END AS smooth_upper,
     CASE WHEN count(raw_lower) OVER frame = 10 THEN avg(raw_lower) OVER frame END AS smooth_lower
   FROM limits
-  WINDOW frame AS (PARTITION BY metric ORDER BY time ROWS BETWEEN {frame})),
+  WINDOW frame AS (PARTITION BY metric, date ORDER BY time ROWS BETWEEN {frame})),
 flagged AS (
   SELECT *, value > smooth_upper OR value < smooth_lower AS is_alert FROM banded)"""
 
@@ -584,4 +592,7 @@ FROM daily ORDER BY Date DESC LIMIT 1""", DAILY),
     "linearized_experiment": experiment(LINEARIZED_TESTS),
     "stream_interval_metrics": query(f"SELECT {METRIC_COLUMNS} FROM closed",
                                      interval_rows("true"), CLOSED),
+    "stream_alerts": query(
+        f"SELECT {ALERT_COLUMNS} FROM flagged WHERE is_alert", interval_rows("true"), CLOSED,
+        single("closed"), holt("closed"), band(SMOOTHED, TRAILING)),
 }

@@ -4,6 +4,8 @@ Doubles are rounded here, and timestamps lose their zone here, so that results
 compare with another engine; the library does neither.
 """
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,11 +24,13 @@ from tidemark.plans import alerts, feed_report
 from tidemark.plans.audience_report import SOURCES, SYSTEMS, audience_report
 from tidemark.plans.daily_cube import daily_cube, run_daily_cube
 from tidemark.plans.experiment import ctr_experiment, linearized_experiment
-from tidemark.sources.derived_events import feed_from_events, messages_from_events
+from tidemark.sources.derived_events import (feed_from_events, messages_from_events,
+                                             read_events, stream_events)
 from tidemark.sources.event_tables import read_tsv, write_tsv
 from tidemark.sources.fact_table import read_daily_activity
 from tidemark.sources.shared_folder import new_path
-from tidemark.streaming.intervals import interval_stream, write_intervals
+from tidemark.streaming.intervals import (interval_stream, read_alerts, start_alerts,
+                                          write_intervals)
 
 CLOCK = AsOf.of(AS_OF)
 DAY = CLOCK.yesterday
@@ -47,10 +51,19 @@ class Tables:
 
     def __init__(self, spark, sf_dir):
         self.spark = spark
-        events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        self.feed = feed_from_events(events)
-        self.messages = messages_from_events(events)
-        self.both = (self.feed, self.messages)
+        self.events = read_events(spark, sf_dir)
+
+    @cached_property
+    def feed(self):
+        return feed_from_events(self.events)
+
+    @cached_property
+    def messages(self):
+        return messages_from_events(self.events)
+
+    @property
+    def both(self):
+        return self.feed, self.messages
 
     def metrics(self, on="time"):
         return interval_metrics(*self.both, CLOCK, on)
@@ -93,9 +106,7 @@ def _stored_cube(t):
 
 def _streamed_intervals(spark, sf_dir, exact=True):
     """All closed intervals of the event stream, written by a streaming query."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir))
+    events = stream_events(spark, sf_dir)
     metrics = interval_stream(feed_from_events(events), messages_from_events(events), exact)
     target, checkpoint = new_path(spark, "intervals"), new_path(spark, "intervals-checkpoint")
     query = write_intervals(metrics, target, checkpoint)
@@ -103,6 +114,17 @@ def _streamed_intervals(spark, sf_dir, exact=True):
     return spark.read.schema(metrics.schema).parquet(target)
 
 
+def _streamed_alerts(spark, sf_dir):
+    """Alerts of all closed intervals, raised by a streaming query."""
+    events = stream_events(spark, sf_dir)
+    metrics = interval_stream(feed_from_events(events), messages_from_events(events))
+    target = new_path(spark, "alerts")
+    query = start_alerts(metrics, new_path(spark, "alert-intervals"), target,
+                         new_path(spark, "alerts-checkpoint"))
+    query.awaitTermination()
+    return read_alerts(spark, target)
+
+
 def _banded(t, method, band="trailing"):
     smoothed = {"single": alerts.smoothed_single, "holt": alerts.smoothed_holt}[method]
     return add_band(smoothed(t.metrics()), band=band)
@@ -191,4 +213,5 @@ def _over_tables(build):
 QUERIES = {name: _over_tables(build) for name, build in _OVER_TABLES.items()} | {
     "stream_interval_metrics": lambda spark, sf_dir: comparable(
         _streamed_intervals(spark, sf_dir)),
+    "stream_alerts": lambda spark, sf_dir: comparable(_streamed_alerts(spark, sf_dir)),
 }

@@ -7,7 +7,8 @@ from tidemark.operators.intervals import interval_metrics
 from tidemark.plans.alerts import DAY_SERIES, banded_metrics
 from tidemark.sources.derived_events import feed_from_events, messages_from_events
 from tidemark.sources.shared_folder import new_path
-from tidemark.streaming.intervals import interval_stream, start_alerts, write_intervals
+from tidemark.streaming.intervals import (interval_stream, read_alerts, start_alerts,
+                                          write_intervals)
 
 AS_OF = "2024-01-30 23:07:00"
 DAY = datetime(2024, 1, 30).date()
@@ -73,7 +74,7 @@ def test_alerts_follow_the_batch_band(spark, event_stream):
     start_alerts(stream, intervals, alerts, new_path(spark, "checkpoint")).awaitTermination()
     metrics = spark.read.schema(stream.schema).parquet(intervals)
     expected = banded_metrics(metrics, key=DAY_SERIES).where("is_alert")
-    found = spark.read.parquet(alerts)
+    found = read_alerts(spark, alerts)
     key = ("metric", "date", "interval")
     assert found.count() > 0
     assert (sorted(map(str, found.select(*key).collect()))

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
+    # Call sites of every column expression: costs more than planning small jobs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

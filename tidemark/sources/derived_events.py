@@ -6,9 +6,19 @@ checks and the bench, which have no other event data.
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.schemas import FEED_ACTIONS, MESSAGE_ACTIONS, conform
 
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
 # Fixed values of the derivation.
 COUNTRIES = ("Russia", "Ukraine", "Belarus", "Kazakhstan", "Turkey")
 FEED_TYPES = ("view", "error", "click")
@@ -16,6 +26,15 @@ LIKE_TYPE = "click"
 MESSAGE_TYPES = ("purchase", "signup")
 
 
+def read_events(spark, sf_dir):
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
+def stream_events(spark, sf_dir):
+    """The same table as a stream; a pattern, so that it may be one file or a folder."""
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet*")
+
+
 def feed_from_events(events):
     rows = events.where(F.col("event_type").isin(*FEED_TYPES)).withColumn(
         "action", F.when(F.col("event_type") == LIKE_TYPE, "like").otherwise("view"))

@@ -10,6 +10,16 @@ from tidemark.plans.alerts import DAY_SERIES, DEFAULTS, banded_metrics, with_mes
 
 INTERVAL = f"{INTERVAL_MINUTES} minutes"
 COUNTS = ("likes", "views", "messages_sent")
+BATCH = T.StructField("batch", T.LongType())
+# Stated, since a day without alerts leaves no file to take a schema from.
+ALERT_ROWS = T.StructType([
+    *[T.StructField(name, kind) for name, kind in (
+        ("metric", T.StringType()), ("date", T.DateType()), ("time", T.TimestampType()),
+        ("interval", T.StringType()))],
+    *[T.StructField(name, T.DoubleType()) for name in (
+        "value", "smooth", "smooth_75", "smooth_25", "iqr", "deviation", "smooth_upper",
+        "smooth_lower")],
+    T.StructField("is_alert", T.BooleanType()), T.StructField("message", T.StringType()), BATCH])
 
 
 def interval_stream(feed, messages, exact=True, delay=INTERVAL, rsd=0.01):
@@ -74,7 +84,7 @@ def start_alerts(stream, intervals_path, alerts_path, checkpoint, band="trailing
     most 96 rows per metric, read back from the interval table. The smoothing
     puts them in time order, since a batch brings its rows in any order.
     """
-    stored_schema = T.StructType([*stream.schema, T.StructField("batch", T.LongType())])
+    stored_schema = T.StructType([*stream.schema, BATCH])
 
     def replace(rows, path, batch_id):
         # A few rows: one file. repartition, as coalesce would run the stateful
@@ -100,3 +110,8 @@ def start_alerts(stream, intervals_path, alerts_path, checkpoint, band="trailing
     writer = (stream.writeStream.outputMode("append").foreachBatch(handle)
               .option("checkpointLocation", checkpoint))
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_alerts(spark, alerts_path):
+    return (spark.read.schema(ALERT_ROWS).parquet(alerts_path)
+            .select(*[f.name for f in ALERT_ROWS if f.name != "batch"]))
