@@ -3,15 +3,16 @@
 Equal values are first collapsed to counts. The distinct values are then cut
 into consecutive ranges of about equal size, cumulative counts are taken inside
 a range, and the ranges (a few hundred rows, whatever the data) are put in
-order. The cut points come from a quantile sketch; they shape the work only,
-every result is exact for any cut.
+order. The cut points shape the work only, every result is exact for any cut;
+they are picked by hash, so that every evaluation picks the same.
 """
 
-import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 N_RANGES = 256
+# Distinct values the cut points are chosen from, per range.
+CANDIDATES = 16
 RANGE = "value_range"
 
 
@@ -24,9 +25,14 @@ def with_value_range(counts, value, seen, n_ranges=N_RANGES):
     """
     if n_ranges == 1:
         return counts.withColumn(RANGE, F.lit(0))
-    # One array literal: hundreds of literals would slow down every planner rule.
-    shares = F.lit(np.arange(1, n_ranges) / n_ranges)
-    cuts = counts.where(seen).agg(F.percentile_approx(value, shares, 10 * n_ranges)).scalar()
+    # The values with the smallest hashes are a uniform choice among the distinct
+    # values and, unlike those of a quantile sketch, do not depend on merge order.
+    chosen = (counts.where(seen & F.col(value).isNotNull())
+              .orderBy(F.xxhash64(value), value).limit(CANDIDATES * n_ranges)
+              .agg(F.sort_array(F.collect_list(value)).alias("chosen")))
+    cuts = chosen.select(F.transform(
+        F.sequence(F.lit(1), F.lit(n_ranges - 1)),
+        lambda i: F.get("chosen", F.floor(i * F.size("chosen") / n_ranges).cast("int")))).scalar()
     # Never NULL, so that no derived null check drags this down to single rows.
     below = F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col(value))), F.lit(0))
     return counts.withColumn("cuts", cuts).withColumn(RANGE, below).drop("cuts")

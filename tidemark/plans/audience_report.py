@@ -67,9 +67,7 @@ def audience_report(feed, messages, as_of, exact=True):
 
 def audience_summary(overlap, totals, by_source, by_os):
     """The report text, joined from frames of one row per day."""
-    row = (overlap.join(audience.overlap_shares(overlap).withColumnsRenamed(
-               {c: f"{c}_share" for c in audience.CLASSES}), "date")
-           .join(totals, "date", "left").join(by_source, "date", "left")
+    row = (overlap.join(totals, "date", "left").join(by_source, "date", "left")
            .join(by_os, "date", "left"))
 
     def rounded(column):
@@ -78,7 +76,8 @@ def audience_summary(overlap, totals, by_source, by_os):
     def share(part, names):
         return rounded(percent(part, sum((F.col(n) for n in names[1:]), F.col(names[0]))))
 
-    classes = [c for name in audience.CLASSES for c in (F.col(name), rounded(f"{name}_share"))]
+    classes = [c for name in audience.CLASSES
+               for c in (F.col(name), rounded(percent(name, "all_unique_users")))]
     return row.select("date", F.format_string(
         SUMMARY, F.col("date").cast("string"), "all_unique_users", *classes,
         "messages", "likes", "views", rounded(ratio("likes", "views")),

@@ -4,6 +4,8 @@ Every function in the package takes the caller's session as it is; this module
 only offers a session with the settings we recommend.
 """
 
+import math
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,11 +25,24 @@ SETTINGS = {
 }
 
 
+def cluster_settings(cores, largest_shuffle_gb):
+    """Partition counts for a cluster, as keyword overrides of `build_session`.
+
+    Shuffles start with about 128 MB per partition and at least three per core;
+    AQE merges what turns out small and splits skewed join partitions.
+    """
+    partitions = max(3 * cores, math.ceil(largest_shuffle_gb * 1024 / 128))
+    return {
+        "spark__sql__shuffle__partitions": partitions,
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "128m",
+        "spark__sql__files__maxPartitionBytes": "256m",
+    }
+
+
 def build_session(app_name="tidemark", master=None, **overrides):
     """A session with `SETTINGS`; keyword overrides win (dots as `__`).
 
-    On a cluster leave `spark.sql.shuffle.partitions` to the deployment: a few
-    times the total cores, and AQE coalesces what turns out small.
+    On a cluster add `**cluster_settings(...)`.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
