@@ -17,7 +17,7 @@ from tidemark.operators.bootstrap import bootstrap_by_user
 from tidemark.operators.experiment import (bucketed, experiment_users, group_ctr, linearized,
                                            smoothed_ctr)
 from tidemark.operators.histogram import histogram
-from tidemark.operators.intervals import interval_metrics
+from tidemark.operators.intervals import FEED_METRICS, MESSENGER_METRICS, interval_metrics
 from tidemark.operators.mannwhitney import mann_whitney_test
 from tidemark.operators.welch import welch_test
 from tidemark.plans import alerts, feed_report
@@ -125,9 +125,13 @@ def _streamed_alerts(spark, sf_dir):
     return read_alerts(spark, target)
 
 
+def _smoothed(t, method):
+    names = {"single": MESSENGER_METRICS, "holt": FEED_METRICS}[method]
+    return alerts.smoothed_metrics(t.metrics(), names)
+
+
 def _banded(t, method, band="trailing"):
-    smoothed = {"single": alerts.smoothed_single, "holt": alerts.smoothed_holt}[method]
-    return add_band(smoothed(t.metrics()), band=band)
+    return add_band(_smoothed(t, method), band=band)
 
 
 def _alerts(band):
@@ -170,8 +174,8 @@ _OVER_TABLES = {
     # anomaly check
     "interval_metrics": lambda t: t.metrics(),
     "interval_metrics_by_label": lambda t: t.metrics("interval"),
-    "smooth_single": lambda t: alerts.smoothed_single(t.metrics()),
-    "smooth_holt": lambda t: alerts.smoothed_holt(t.metrics()),
+    "smooth_single": lambda t: _smoothed(t, "single"),
+    "smooth_holt": lambda t: _smoothed(t, "holt"),
     "band_single": lambda t: _banded(t, "single"),
     "band_holt": lambda t: _banded(t, "holt"),
     "alerts_centered": _alerts("centered"),

@@ -9,7 +9,7 @@ from conftest import rows
 from tidemark.functions.clock import AsOf
 from tidemark.operators.bands import add_band, latest_points
 from tidemark.operators.intervals import interval_metrics, live_events
-from tidemark.operators.smoothing import (simple_levels, smooth_holt, smooth_single,
+from tidemark.operators.smoothing import (holt, simple_levels, single, smooth_series,
                                           trend_forecasts)
 from tidemark.plans.alerts import check_alerts, with_message
 
@@ -43,18 +43,18 @@ def test_simple_smoothing_equals_pandas():
 
 def test_series_do_not_mix_and_order_does_not_matter(make_series):
     mixed = make_series(a=[1.0, 2.0, 3.0], b=[10.0, 0.0, 10.0]).orderBy("value")
-    found = rows(smooth_single(mixed, 0.5), "metric", "time")
+    found = rows(smooth_series(mixed, {"a": single(0.5), "b": single(0.5)}), "metric", "time")
     assert [r["smooth"] for r in found] == [1, 1.5, 2.25, 10, 5, 7.5]
 
 
 def test_missing_value_makes_the_rest_missing(make_series):
-    found = rows(smooth_holt(make_series(a=[1.0, 2.0, None, 4.0]), 0.35, 1), "time")
+    found = rows(smooth_series(make_series(a=[1.0, 2.0, None, 4.0]), {"a": holt(0.35, 1)}), "time")
     assert [r["smooth"] is None for r in found] == [False, False, True, True]
 
 
 def test_band_equals_pandas(make_series):
     values = list(np.random.default_rng(2).normal(100, 10, size=40).round(3).tolist())
-    smoothed = smooth_single(make_series(a=values), 0.85)
+    smoothed = smooth_series(make_series(a=values), {"a": single(0.85)})
     x = pd.Series(values)
     s = x.ewm(alpha=0.85, adjust=False).mean()
     q75, q25 = s.rolling(6).quantile(0.75), s.rolling(6).quantile(0.25)
@@ -70,7 +70,7 @@ def test_band_equals_pandas(make_series):
 
 
 def test_centered_band_never_flags_the_latest_point(make_series):
-    spike = smooth_single(make_series(a=[10.0] * 30 + [500.0]), 0.85)
+    spike = smooth_series(make_series(a=[10.0] * 30 + [500.0]), {"a": single(0.85)})
     centered = rows(add_band(spike, band="centered"), "time")
     assert [r["is_alert"] for r in centered[-4:]] == [None] * 4
     trailing = with_message(latest_points(add_band(spike, band="trailing")))

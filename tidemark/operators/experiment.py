@@ -9,7 +9,10 @@ GROUP = "exp_group"
 
 def experiment_users(feed, start, end, groups):
     """Likes, views and CTR per user of the given groups; `end` itself is included."""
-    kept = feed.where(between_times(start, end) & F.col(GROUP).isin(*groups))
+    # The null check is spelled out: joins on the group would derive it, and a scan
+    # that differs by it is not shared with the other uses of this aggregate.
+    kept = feed.where(between_times(start, end) & F.col(GROUP).isNotNull()
+                      & F.col(GROUP).isin(*groups))
     if "event_date" in feed.columns:
         kept = kept.where(F.col("event_date").between(F.lit(start.date()), F.lit(end.date())))
     return (kept.groupBy("user_id", GROUP)

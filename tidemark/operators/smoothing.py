@@ -41,20 +41,26 @@ def trend_forecasts(values, alpha, beta):
     return smoothed
 
 
-def smooth_single(series, alpha, key=("metric",), time="time", value="value"):
-    return _per_series(series, key, time, value, lambda xs: simple_levels(xs, alpha))
+def single(alpha):
+    return lambda values: simple_levels(values, alpha)
 
 
-def smooth_holt(series, alpha, beta, key=("metric",), time="time", value="value"):
-    return _per_series(series, key, time, value, lambda xs: trend_forecasts(xs, alpha, beta))
+def holt(alpha, beta):
+    return lambda values: trend_forecasts(values, alpha, beta)
 
 
-def _per_series(series, key, time, value, recursion):
-    """Adds `smooth`. A missing value makes all later smoothed values missing."""
+def smooth_series(series, recursions, key=("metric",)):
+    """Adds `smooth` to the points (metric, time, value) of every series.
+
+    `recursions` gives each metric its recursion, so that metrics smoothed in
+    different ways share one pass over the events. A missing value makes all
+    later smoothed values missing.
+    """
     schema = T.StructType([*series.schema, T.StructField("smooth", T.DoubleType())])
 
     def smooth(points: pd.DataFrame) -> pd.DataFrame:
-        points = points.sort_values(time)
-        return points.assign(smooth=recursion(points[value].astype("float64").tolist()))
+        points = points.sort_values("time")
+        recursion = recursions[points["metric"].iloc[0]]
+        return points.assign(smooth=recursion(points["value"].astype("float64").tolist()))
 
     return series.groupBy(*key).applyInPandas(smooth, schema)

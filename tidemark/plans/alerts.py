@@ -8,7 +8,7 @@ from tidemark.functions.scalars import half_even
 from tidemark.operators.bands import add_band, latest_points
 from tidemark.operators.intervals import (FEED_METRICS, MESSENGER_METRICS, as_series,
                                           interval_metrics)
-from tidemark.operators.smoothing import smooth_holt, smooth_single
+from tidemark.operators.smoothing import holt, single, smooth_series
 
 # Fixed value: the alert text.
 ALERT = "%s = %s, Отклонение = %s %%"
@@ -30,22 +30,19 @@ SERIES = ("metric",)
 DAY_SERIES = ("metric", "date")
 
 
-def smoothed_single(metrics, settings=DEFAULTS, key=SERIES):
-    """Messenger metrics, simple exponential smoothing."""
-    return smooth_single(as_series(metrics, MESSENGER_METRICS), settings.alpha_single, key)
-
-
-def smoothed_holt(metrics, settings=DEFAULTS, key=SERIES):
-    """Feed metrics, smoothing with trend."""
-    return smooth_holt(as_series(metrics, FEED_METRICS), settings.alpha_holt,
-                       settings.beta_holt, key)
+def smoothed_metrics(metrics, names=MESSENGER_METRICS + FEED_METRICS, settings=DEFAULTS,
+                     key=SERIES):
+    """Messenger metrics by simple smoothing, feed metrics by smoothing with trend."""
+    level = single(settings.alpha_single)
+    trend = holt(settings.alpha_holt, settings.beta_holt)
+    recursions = dict.fromkeys(MESSENGER_METRICS, level) | dict.fromkeys(FEED_METRICS, trend)
+    return smooth_series(as_series(metrics, names), recursions, key)
 
 
 def banded_metrics(metrics, band="trailing", settings=DEFAULTS, key=SERIES):
     """All six metrics with band and flag; `key=DAY_SERIES` restarts every day."""
-    both = smoothed_single(metrics, settings, key).unionByName(
-        smoothed_holt(metrics, settings, key))
-    return add_band(both, settings.window, settings.coef, band, key)
+    return add_band(smoothed_metrics(metrics, settings=settings, key=key),
+                    settings.window, settings.coef, band, key)
 
 
 def check_alerts(feed, messages, as_of, band="trailing", settings=DEFAULTS):

@@ -28,7 +28,6 @@ def ctr_experiment(users, pair=(1, 2), strength=5, salt="bucket", n_buckets=50):
     `sources.shared_folder.stored(users, ...)`, so that the events are
     aggregated once.
     """
-    users = users.where(F.col("exp_group").isin(*pair))
     tests = (_both_tests(users, "ctr", pair)
              + _both_tests(smoothed_ctr(users, pair, strength), "smoothed_ctr", pair)
              + _both_tests(bucketed(users, salt, n_buckets), "bucket_ctr", pair))
@@ -40,9 +39,8 @@ def linearized_experiment(users, pairs=((0, 3), (1, 2))):
     tests = []
     for pair in pairs:
         suffix = "_".join(map(str, pair))
-        mine = users.where(F.col("exp_group").isin(*pair))
         tests += [
-            _result(welch_test(mine, "ctr", pair), f"ctr_{suffix}", "welch_t"),
-            _result(welch_test(linearized(mine, pair[0]), "lin_likes", pair),
+            _result(welch_test(users, "ctr", pair), f"ctr_{suffix}", "welch_t"),
+            _result(welch_test(linearized(users, pair[0]), "lin_likes", pair),
                     f"lin_likes_{suffix}", "welch_t")]
     return reduce(lambda a, b: a.unionByName(b), tests).select(*RESULT)
