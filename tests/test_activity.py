@@ -1,6 +1,6 @@
 import pandas as pd
 
-from conftest import rows
+from conftest import plan_of, rows
 from tidemark.functions.clock import AsOf
 from tidemark.operators import activity
 from tidemark.plans.daily_cube import daily_cube
@@ -75,3 +75,23 @@ def test_cube_day_scope_reads_one_day(make_feed, make_messages):
     by_scope = {scope: rows(daily_cube(feed, messages, "2024-01-30", scope), "dimension")[0]
                 for scope in ("all", "day")}
     assert (by_scope["all"]["views"], by_scope["day"]["views"]) == (2, 1)
+
+
+def test_sketched_counts_are_close(feed, messages):
+    exact = rows(activity.user_activity(feed, messages), "user_id")
+    sketched = rows(activity.user_activity(feed, messages, exact=False), "user_id")
+    for name in ("users_received", "users_sent"):
+        assert all(abs(e[name] - s[name]) <= 1 for e, s in zip(exact, sketched))
+    assert [e["messages_sent"] for e in exact] == [s["messages_sent"] for s in sketched]
+
+
+def test_cube_join_reuses_the_partitioning_of_its_sides(spark, feed, messages):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, -1)
+    try:
+        plan = plan_of(activity.user_activity(feed, messages))
+    finally:
+        spark.conf.set(limit, before)
+    # feed 1, sent 2, received 2, and the per-user rows once for the second join.
+    assert plan.count("Exchange hashpartitioning") == 6

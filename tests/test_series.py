@@ -107,3 +107,8 @@ def test_alerts_of_the_latest_interval(make_feed, make_messages):
     alerts = rows(check_alerts(feed, messages, times[-1] + timedelta(minutes=20)), "metric")
     assert {"messages_sent", "messenger_users"} <= {r["metric"] for r in alerts}
     assert all(r["time"] == times[-1] and not math.isnan(r["deviation"]) for r in alerts)
+
+
+def test_moment_has_no_offset():
+    with pytest.raises(ValueError):
+        AsOf.of("2024-01-30T23:07:00+03:00")

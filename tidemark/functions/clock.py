@@ -29,6 +29,8 @@ class AsOf:
             return value
         if isinstance(value, str):
             value = datetime.fromisoformat(value)
+        if value.tzinfo is not None:
+            raise ValueError("give the moment in the session time zone, without an offset")
         return cls(value)
 
     @property

@@ -33,9 +33,15 @@ def with_value_range(counts, value, seen, n_ranges=N_RANGES):
     cuts = chosen.select(F.transform(
         F.sequence(F.lit(1), F.lit(n_ranges - 1)),
         lambda i: F.get("chosen", F.floor(i * F.size("chosen") / n_ranges).cast("int")))).scalar()
+    # Number of cuts below the value, by halving steps; past the end `get` is NULL.
+    steps = [2 ** i for i in reversed(range((n_ranges - 1).bit_length()))]
+    below = F.aggregate(
+        F.array(*map(F.lit, steps)), F.lit(0),
+        lambda found, step: F.when(F.get("cuts", found + step - 1) < F.col(value), found + step)
+        .otherwise(found))
     # Never NULL, so that no derived null check drags this down to single rows.
-    below = F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col(value))), F.lit(0))
-    return counts.withColumn("cuts", cuts).withColumn(RANGE, below).drop("cuts")
+    return (counts.withColumn("cuts", cuts)
+            .withColumn(RANGE, F.coalesce(below, F.lit(0))).drop("cuts"))
 
 
 def before(column, *partition, order):

@@ -94,17 +94,22 @@ def start_alerts(stream, intervals_path, alerts_path, checkpoint, band="trailing
          .partitionBy("date", "batch").parquet(path))
 
     def handle(batch, batch_id):
-        # Read back what was written: a second action on `batch` would run the
-        # stateful stages again.
+        spark = batch.sparkSession
+        # Two actions follow; without this the second runs the stateful stages again.
+        batch.persist()
         replace(batch, intervals_path, batch_id)
-        known = (batch.sparkSession.read.schema(stored_schema).parquet(intervals_path)
-                 .where(F.col("batch") <= batch_id))
-        fresh = known.where(F.col("batch") == batch_id)
-        if fresh.isEmpty():
+        # The calendar days in a batch, so that only their directories are listed.
+        days = [row.date for row in batch.select("date").distinct().collect()]
+        batch.unpersist()
+        if not days:
+            replace(spark.createDataFrame([], ALERT_ROWS), alerts_path, batch_id)
             return
-        days = known.join(fresh.select("date").distinct(), "date", "left_semi")
-        banded = banded_metrics(days.drop("batch"), band, settings, DAY_SERIES)
-        flagged = banded.join(fresh.select("time"), "time", "left_semi").where("is_alert")
+        known = (spark.read.schema(stored_schema).option("basePath", intervals_path)
+                 .parquet(*[f"{intervals_path}/date={day}" for day in days])
+                 .where(F.col("batch") <= batch_id))
+        fresh = known.where(F.col("batch") == batch_id).select("time")
+        banded = banded_metrics(known.drop("batch"), band, settings, DAY_SERIES)
+        flagged = banded.join(fresh, "time", "left_semi").where("is_alert")
         replace(with_message(flagged), alerts_path, batch_id)
 
     writer = (stream.writeStream.outputMode("append").foreachBatch(handle)
