@@ -1,10 +1,14 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import types as T
 
 from conftest import plan_of, rows
 from tidemark.functions.scalars import during_days
+from tidemark.operators.audience import active_users
+from tidemark.operators.experiment import experiment_users
+from tidemark.operators.intervals import live_events
+from tidemark.operators.segments import feed_segments
 from tidemark.plans.daily_cube import daily_cube, run_daily_cube
 from tidemark.plans.feed_report import feed_daily
 from tidemark.sources import event_tables, fact_table
@@ -40,6 +44,15 @@ def test_tables_laid_out_by_day_open_only_their_days(spark, feed):
     assert rows(report, "Date") == rows(feed_daily(feed, AS_OF), "Date")
     scan = next(line for line in plan_of(report).splitlines() if "FileScan" in line)
     assert "event_date" in scan[scan.index("PartitionFilters"):scan.index("PushedFilters")]
+    start = datetime(2024, 1, 8)
+    for job in (live_events(by_day, AS_OF), active_users(by_day, date(2024, 1, 29)),
+                feed_segments(by_day, date(2024, 1, 22), date(2024, 1, 29)),
+                experiment_users(by_day, start, datetime(2024, 1, 14), (1, 2)),
+                daily_cube(by_day, by_day.withColumn("reciever_id", by_day.user_id), AS_OF,
+                           date_scope="day")):
+        for scan in (line for line in plan_of(job).splitlines() if "FileScan" in line):
+            assert "event_date" in scan[scan.index("PartitionFilters"):
+                                        scan.index("PushedFilters")]
 
 
 def test_tsv_keeps_nulls_and_types(spark):

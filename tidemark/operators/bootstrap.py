@@ -69,8 +69,11 @@ def bootstrap_by_user(users, replicates=1000, seed=0, algorithm="xxhash64"):
     """
     words_of, per_block = HASHES[algorithm]
     blocks = math.ceil(replicates / per_block)
-    drawn = (users.select(GROUP, "user_id", "likes", "views",
-                          F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
+    # The work is `replicates` times the size of the users. Partitions sized by
+    # bytes would be far too few, so the users are spread over all tasks first.
+    tasks = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drawn = (users.select(GROUP, "user_id", "likes", "views").repartition(tasks, "user_id")
+             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
     drawn = drawn.withColumn(
         "word", F.array(*words_of(F.col("user_id"), F.col("block"), seed)))
     drawn = drawn.select(GROUP, "block", "likes", "views", *[

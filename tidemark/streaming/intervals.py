@@ -34,7 +34,7 @@ def interval_stream(feed, messages, exact=True, delay=INTERVAL, rsd=0.01):
     * `exact=False` keeps one sketch per interval instead: far less state.
 
     Events later than `delay` behind the newest one are dropped by the
-    watermark; rerunning the batch job for the day repairs them.
+    watermark; the batch job for the same day still counts them.
     """
     events = (_tagged(feed, "feed").unionByName(_tagged(messages, "message"))
               .withWatermark("time", delay))
