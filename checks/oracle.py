@@ -98,18 +98,21 @@ FEED_DAY = f"SELECT user_id FROM feed WHERE CAST(time AS DATE) = {DAY}"
 MESSAGE_DAY = f"SELECT user_id FROM messages WHERE CAST(time AS DATE) = {DAY}"
 
 
-def users_of_day(table, condition, name):
-    return (f"SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS {name} FROM {table} "
-            f"WHERE CAST(time AS DATE) = {DAY} AND user_id {condition} GROUP BY 1")
+def set_size(left, operation, right, name):
+    return (f"SELECT {DAY} AS date, count(*) AS {name} FROM ({left} {operation} {right}) "
+            "HAVING count(*) > 0")
 
 
-FEED_ONLY = users_of_day("feed", f"NOT IN ({MESSAGE_DAY})", "purely_feed_users")
-MESSENGER_ONLY = users_of_day("messages", f"NOT IN ({FEED_DAY})", "purely_messenger_users")
-BOTH = users_of_day("messages", f"IN ({FEED_DAY})", "both_func_users")
+FEED_ONLY = set_size(FEED_DAY, "EXCEPT", MESSAGE_DAY, "purely_feed_users")
+MESSENGER_ONLY = set_size(MESSAGE_DAY, "EXCEPT", FEED_DAY, "purely_messenger_users")
+BOTH = set_size(FEED_DAY, "INTERSECT", MESSAGE_DAY, "both_func_users")
 OVERLAP = f"""
 overlap AS (
-  SELECT *, purely_feed_users + purely_messenger_users + both_func_users AS all_unique_users
-  FROM ({FEED_ONLY}) a JOIN ({MESSENGER_ONLY}) b USING (date) JOIN ({BOTH}) c USING (date)),
+  SELECT {DAY} AS date, count(f) FILTER (WHERE m IS NULL) AS purely_feed_users,
+         count(m) FILTER (WHERE f IS NULL) AS purely_messenger_users,
+         count(*) FILTER (WHERE f = m) AS both_func_users, count(*) AS all_unique_users
+  FROM (SELECT DISTINCT user_id AS f FROM ({FEED_DAY}))
+    FULL JOIN (SELECT DISTINCT user_id AS m FROM ({MESSAGE_DAY})) ON f = m),
 shares AS (
   SELECT date, purely_feed_users / all_unique_users * 100 AS purely_feed_users,
          purely_messenger_users / all_unique_users * 100 AS purely_messenger_users,
@@ -117,8 +120,9 @@ shares AS (
   FROM overlap)"""
 
 SEGMENT_KEYS = """CAST(time AS DATE) AS date,
-    CASE WHEN age < 18 THEN '<18' WHEN age >= 18 AND age <= 30 THEN '18-30'
-         WHEN age > 30 AND age <= 45 THEN '30-45' ELSE '45+' END AS age_groups,
+    coalesce((SELECT band FROM (VALUES (0, 17, '<18'), (18, 30, '18-30'), (31, 45, '30-45'))
+              bands(youngest, oldest, band) WHERE age BETWEEN youngest AND oldest), '45+')
+    AS age_groups,
     country, os, source"""
 
 
@@ -294,7 +298,7 @@ flagged AS (
 TRAILING, CENTERED = "9 PRECEDING AND CURRENT ROW", "5 PRECEDING AND 4 FOLLOWING"
 SMOOTHED = "SELECT * FROM smooth_single UNION ALL SELECT * FROM smooth_holt"
 SMOOTH_COLUMNS = "metric, date, time, interval, " + rounded("value", "smooth")
-BAND_COLUMNS = SMOOTH_COLUMNS + ", is_alert, " + rounded(
+BAND_COLUMNS = SMOOTH_COLUMNS + ", CAST(is_alert AS VARCHAR) AS is_alert, " + rounded(
     "smooth_75", "smooth_25", "iqr", "deviation", "smooth_upper", "smooth_lower")
 ALERT_COLUMNS = BAND_COLUMNS + """,
   metric || ' = ' || CASE WHEN value = floor(value)

@@ -1,7 +1,7 @@
 """Every operator and report as a query over the given tables.
 
-Doubles are rounded here, and timestamps lose their zone here, so that results
-compare with another engine; the library does neither.
+Doubles are rounded, timestamps lose their zone and flags become text here, so that
+results compare with another engine; the library does none of this.
 """
 
 from functools import cached_property
@@ -38,9 +38,10 @@ WEEK = CLOCK.report_week
 
 
 def comparable(df):
-    """Doubles to a fixed number of decimals, timestamps without zone."""
+    """Doubles to a fixed number of decimals, timestamps without zone, flags as text."""
     shown = {"double": lambda c: F.round(c, DIGITS) + 0.0,  # no -0.0
              "timestamp": lambda c: c.cast("timestamp_ntz"),
+             "boolean": lambda c: c.cast("string"),
              "int": lambda c: c.cast("bigint")}
     return df.select(*[
         shown.get(kind, lambda c: c)(F.col(name)).alias(name) for name, kind in df.dtypes])

@@ -10,7 +10,7 @@ from conftest import DATA
 
 # DuckDB's names of the types the checks may return.
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
-         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+         "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.clock import INTERVAL_MINUTES
 from tidemark.functions.scalars import interval_label, percent
-from tidemark.operators.intervals import FEED_METRICS, MESSENGER_METRICS
+from tidemark.operators.intervals import MESSENGER_METRICS
 from tidemark.plans.alerts import DAY_SERIES, DEFAULTS, banded_metrics, with_message
 
 INTERVAL = f"{INTERVAL_MINUTES} minutes"
