@@ -302,7 +302,8 @@ BAND_COLUMNS = SMOOTH_COLUMNS + ", CAST(is_alert AS VARCHAR) AS is_alert, " + ro
     "smooth_75", "smooth_25", "iqr", "deviation", "smooth_upper", "smooth_lower")
 ALERT_COLUMNS = BAND_COLUMNS + """,
   metric || ' = ' || CASE WHEN value = floor(value)
-      THEN CAST(CAST(value AS BIGINT) AS VARCHAR) ELSE CAST(value AS VARCHAR) END
+      THEN CAST(CAST(value AS BIGINT) AS VARCHAR)
+      ELSE coalesce(CAST(value AS VARCHAR), 'nan') END
   || ', Отклонение = '
   || coalesce(CAST(CAST(round_even(deviation, 2) AS DOUBLE) AS VARCHAR), 'nan') || ' %'
   AS message"""
@@ -374,7 +375,9 @@ welch_p AS (
 WELCH_COLUMNS = "n_a, n_b, n_dropped, " + rounded(
     "mean_a", "mean_b", "var_a", "var_b", "statistic", "df", "p_value")
 
-# Midranks; the tail of the normal distribution by integration from 0 to |z|.
+# Midranks; the tail of the normal distribution by integration from 0 to |z|. Samples of
+# at most 8 values without ties (as at the smallest scale) have an exact distribution
+# instead, which the tests check by enumeration.
 MANN_WHITNEY = """
 ranked AS (
   SELECT side, x, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2 AS midrank

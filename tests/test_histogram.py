@@ -1,9 +1,11 @@
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tidemark.operators.histogram import histogram
+from tidemark.operators.mannwhitney import mann_whitney_test
 from tidemark.operators.ordering import exact_quantiles
 
 quick = settings(max_examples=6, deadline=None,
@@ -76,3 +78,19 @@ def test_quantiles_per_group(grouped):
     a, b = list(range(101)), [7.0, 7.0, 9.0]
     found = exact_quantiles(grouped(g1=a, g2=b), "x", (0.25, 0.75), ["exp_group"]).collect()
     assert {r.exp_group: (r.q_0, r.q_1) for r in found} == {1: (25, 75), 2: (7, 8)}
+
+
+def test_more_values_than_candidates(spark):
+    source = np.random.default_rng(6)
+    xs = np.concatenate([source.normal(size=9000), source.exponential(size=9000),
+                         np.full(6000, 0.25)])
+    groups = source.integers(1, 3, len(xs))
+    df = spark.createDataFrame(pd.DataFrame({"exp_group": groups, "x": xs}))
+    row = exact_quantiles(df, "x", (0.01, 0.25, 0.6, 0.99)).collect()[0]
+    np.testing.assert_allclose(list(row), np.percentile(xs, [1, 25, 60, 99]), rtol=1e-12)
+    # Rank sums by pandas midranks; a quarter of all values tie.
+    ranks = pd.Series(xs).rank().to_numpy()
+    n_a = int((groups == 1).sum())
+    test = mann_whitney_test(df, "x", (1, 2)).collect()[0]
+    assert test.u_a == ranks[groups == 1].sum() - n_a * (n_a + 1) / 2
+    assert mann_whitney_test(df.repartition(31), "x", (1, 2)).collect()[0] == test

@@ -52,9 +52,9 @@ def check_alerts(feed, messages, as_of, band="trailing", settings=DEFAULTS):
 
 
 def with_message(points):
-    """Counts are shown as whole numbers, the deviation in hundredths."""
+    """Counts are shown as whole numbers, the deviation in hundredths, NULL as nan."""
     whole = F.col("value") == F.floor("value")
     shown = F.when(whole, F.floor("value").cast("string")).otherwise(
-        F.col("value").cast("string"))
+        F.coalesce(F.col("value").cast("string"), F.lit("nan")))
     return points.withColumn("message", F.format_string(
         ALERT, "metric", shown, F.coalesce(half_even("deviation").cast("string"), F.lit("nan"))))
