@@ -1,11 +1,15 @@
 """The operators of this subpackage over the given tables, with production parameters."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from tidemark.llm import elias_fano, packing
+from tidemark.llm import bpe_count, bradley_terry, elias_fano, packing, toxicity
+from tidemark.llm.shared import fold
 from tidemark.sources.shared_folder import new_path
 
 WINDOW = 4096
+#: A document is good, or toxic, from this score on.
+CUT = 0.7
 
 
 def table(spark, sf_dir, name):
@@ -25,7 +29,34 @@ def op2_elias_fano_files(spark, sf_dir):
     return elias_fano.digest(elias_fano.read_token_files(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op1_nnls_packing, op2_elias_fano_files)}
+def scored(rows, folds, held_out, cut):
+    """The columns that a scoring query returns; a null id is in no fold."""
+    return rows.select(
+        "doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def op5_bradley_terry_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    ranking = bradley_terry.learn(docs, table(spark, sf_dir, "labels"), folds=4, held_out=2)
+    return scored(bradley_terry.score(docs.select("doc_id", "text"), ranking), 4, 2, CUT)
+
+
+def op6_heap_token_counts(spark, sf_dir):
+    counts = bpe_count.count_tokens(table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("piece_bpe_32k.model"))
+    return bpe_count.flag_long(counts, WINDOW)
+
+
+def op7_lexicon_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    return scored(toxicity.score(docs.select("doc_id", "text"), lexicon), 3, 1, CUT)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_nnls_packing, op2_elias_fano_files, op5_bradley_terry_quality, op6_heap_token_counts,
+    op7_lexicon_toxicity)}
 
 #: Only where SQL can express the operator.
 ORACLE = {}
