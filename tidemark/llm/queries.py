@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_count, bradley_terry, elias_fano, packing, toxicity
+from tidemark.llm import (bpe_count, bradley_terry, elias_fano, order_minhash, packing,
+                          toxicity)
 from tidemark.llm.shared import fold
 from tidemark.sources.shared_folder import new_path
 
@@ -36,6 +37,10 @@ def scored(rows, folds, held_out, cut):
         "score", (F.col("score") >= cut).cast("int").alias("predicted"))
 
 
+def op3_order_minhash_near_dedup(spark, sf_dir):
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_bradley_terry_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     ranking = bradley_terry.learn(docs, table(spark, sf_dir, "labels"), folds=4, held_out=2)
@@ -55,7 +60,8 @@ def op7_lexicon_toxicity(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_nnls_packing, op2_elias_fano_files, op5_bradley_terry_quality, op6_heap_token_counts,
+    op1_nnls_packing, op2_elias_fano_files, op3_order_minhash_near_dedup,
+    op5_bradley_terry_quality, op6_heap_token_counts,
     op7_lexicon_toxicity)}
 
 #: Only where SQL can express the operator.
