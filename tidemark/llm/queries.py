@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bpe_count, bradley_terry, elias_fano, order_minhash, packing,
-                          toxicity)
+                          soft_mix, toxicity)
 from tidemark.llm.shared import fold
 from tidemark.sources.shared_folder import new_path
 
@@ -59,10 +59,26 @@ def op7_lexicon_toxicity(spark, sf_dir):
     return scored(toxicity.score(docs.select("doc_id", "text"), lexicon), 3, 1, CUT)
 
 
+#: Weights of the languages in the mixture.
+TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
+
+def labelled_languages(docs, labels):
+    """The languages of the rows that the labels table lists: all others are predicted."""
+    listed = labels.select("doc_id").distinct()
+    return docs.join(listed, "doc_id", "left_semi").select("doc_id", F.col("lang").alias("domain"))
+
+
+def op8_soft_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labelled = labelled_languages(docs, table(spark, sf_dir, "labels"))
+    return soft_mix.soft_mix(docs, labelled, TARGETS)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nnls_packing, op2_elias_fano_files, op3_order_minhash_near_dedup,
     op5_bradley_terry_quality, op6_heap_token_counts,
-    op7_lexicon_toxicity)}
+    op7_lexicon_toxicity, op8_soft_mix)}
 
 #: Only where SQL can express the operator.
 ORACLE = {}
