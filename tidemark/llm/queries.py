@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bpe_count, bradley_terry, elias_fano, order_minhash, packing,
-                          soft_mix, toxicity)
+from tidemark.llm import (bpe_count, bradley_terry, cover_tree, elias_fano, order_minhash,
+                          packing, soft_mix, toxicity, vp_tree)
 from tidemark.llm.shared import fold
 from tidemark.sources.shared_folder import new_path
 
@@ -41,6 +41,11 @@ def op3_order_minhash_near_dedup(spark, sf_dir):
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_vp_tree_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return vp_tree.nearest(vectors, F.col("vec_id") % 50 == 0, k=5, factor=1.0)
+
+
 def op5_bradley_terry_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     ranking = bradley_terry.learn(docs, table(spark, sf_dir, "labels"), folds=4, held_out=2)
@@ -75,10 +80,14 @@ def op8_soft_mix(spark, sf_dir):
     return soft_mix.soft_mix(docs, labelled, TARGETS)
 
 
+def op9_cover_tree_pairs(spark, sf_dir):
+    return cover_tree.similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nnls_packing, op2_elias_fano_files, op3_order_minhash_near_dedup,
-    op5_bradley_terry_quality, op6_heap_token_counts,
-    op7_lexicon_toxicity, op8_soft_mix)}
+    op4_vp_tree_neighbours, op5_bradley_terry_quality, op6_heap_token_counts,
+    op7_lexicon_toxicity, op8_soft_mix, op9_cover_tree_pairs)}
 
 #: Only where SQL can express the operator.
 ORACLE = {}
