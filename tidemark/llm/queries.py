@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bpe_count, bradley_terry, cover_tree, elias_fano, order_minhash,
-                          packing, soft_mix, toxicity, vp_tree)
+from tidemark.llm import (bpe_count, bradley_terry, cover_tree, elias_fano, licenses,
+                          order_minhash, packing, soft_mix, toxicity, vp_tree)
 from tidemark.llm.shared import fold
 from tidemark.sources.shared_folder import new_path
 
@@ -84,10 +84,19 @@ def op9_cover_tree_pairs(spark, sf_dir):
     return cover_tree.similar_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_license_scan(spark, sf_dir):
+    """Documents stand in directories by source and language."""
+    files = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"),
+        "text")
+    return licenses.scan(files)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nnls_packing, op2_elias_fano_files, op3_order_minhash_near_dedup,
     op4_vp_tree_neighbours, op5_bradley_terry_quality, op6_heap_token_counts,
-    op7_lexicon_toxicity, op8_soft_mix, op9_cover_tree_pairs)}
+    op7_lexicon_toxicity, op8_soft_mix, op9_cover_tree_pairs,
+    op10_license_scan)}
 
 #: Only where SQL can express the operator.
 ORACLE = {}

@@ -241,14 +241,14 @@ def learn(docs, labels, label="toxic", folds=3, held_out=1, most=MOST_LABELLED):
     return lexicon
 
 
-def score(docs, lexicon):
-    """All columns of `docs` and `score` in [0, 1] from the whole text (null: empty).
+def score(docs, lexicon, out="score"):
+    """All columns of `docs` and `out` in [0, 1] from the whole text (null: empty).
 
     One row per row of `docs`, without a shuffle. Only the text is read for the score;
-    nulls in other columns do not matter. A column that is already called `score`
-    is replaced.
+    nulls in other columns do not matter. A column that is already called `out`
+    is replaced. Columns keep their order.
     """
-    inner = docs.select(*[c for c in docs.columns if c not in ("text", "score")], "text")
+    inner = docs.select(*[c for c in docs.columns if c not in ("text", out)], "text")
     schema = inner.schema.fields
     names = [f.name for f in schema]
 
@@ -259,7 +259,8 @@ def score(docs, lexicon):
                 m = [measures(t or "", automaton) for t in part.column("text").to_pylist()]
                 scores = sigmoid(curve_inputs(m) @ np.array(lexicon.curve))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(scores)], [*names, "score"])
+                    [*part.columns, pa.array(scores)], [*names, out])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return inner.mapInArrow(rows, f"{kinds}, score double")
+    return inner.mapInArrow(rows, f"{kinds}, `{out}` double").select(
+        *[c for c in docs.columns if c != out], out)
