@@ -1,0 +1,221 @@
+"""Token ids, token files, packing and counts against the tokenizer libraries."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import bpe_count, elias_fano, packing
+from tidemark.llm.tokens import PartEncoder
+
+FILES = {"byte_bpe_50k.json": True, "word_bpe_49k.json": False}
+
+
+def library(path):
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
+
+
+def whole_ids(tok, text, end):
+    return np.array([*tok.encode(text or "", add_special_tokens=False).ids, end], "<u4")
+
+
+@pytest.fixture(scope="module")
+def encoders(tokenizer):
+    return {f: (PartEncoder(tokenizer(f), keeps), library(tokenizer(f)))
+            for f, keeps in FILES.items()}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aéZß'.,!| \n\t\x01 日1<>s", max_size=30), max_size=5))
+def test_parts_give_the_ids_of_the_whole_text(encoders, found):
+    for encoder, whole in encoders.values():
+        ids, at = encoder.encode(pa.array(found, pa.string()))
+        for i, text in enumerate(found):
+            assert ids[at[i]:at[i + 1]].tolist() == whole.encode(
+                text, add_special_tokens=False).ids
+
+
+def test_real_texts_and_forgetting(encoders, texts, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.tokens.KNOWN_PARTS", 500)
+    some = list(texts.values())
+    for encoder, whole in encoders.values():
+        for start in range(0, len(some), 40):
+            ids, at = encoder.encode(pa.array(some[start:start + 40]))
+            for i, text in enumerate(some[start:start + 40]):
+                assert ids[at[i]:at[i + 1]].tolist() == whole.encode(
+                    text, add_special_tokens=False).ids
+
+
+def test_no_texts(encoders):
+    for encoder, _ in encoders.values():
+        ids, at = encoder.encode(pa.array([], pa.string()))
+        assert not len(ids) and at.tolist() == [0]
+
+
+def read_back(spark, tmp_path, docs, tokenizer, **options):
+    folder = str(tmp_path / "files")
+    elias_fano.write_token_files(docs, tokenizer("byte_bpe_50k.json"), folder, end_id=0, **options)
+    return elias_fano.read_token_files(spark, folder).collect()
+
+
+@pytest.mark.parametrize("block", [50, 1_000_000])
+def test_token_files_round_trip(spark, documents, texts, tokenizer, tmp_path, monkeypatch, block):
+    monkeypatch.setattr("tidemark.llm.elias_fano.BLOCK_IDS", block)
+    tok, start = library(tokenizer("byte_bpe_50k.json")), 0
+    rows = sorted(read_back(spark, tmp_path, documents, tokenizer), key=lambda r: r["doc_id"])
+    assert [r["doc_id"] for r in rows] == sorted(texts)
+    for r in rows:
+        ids = whole_ids(tok, texts[r["doc_id"]], 0)
+        assert (r["start"], r["n_tokens"]) == (start, len(ids))
+        assert bytes(r["ids"]) == ids.tobytes()
+        start += len(ids)
+
+
+def test_token_files_of_awkward_documents(spark, awkward, tokenizer, tmp_path):
+    tok = library(tokenizer("byte_bpe_50k.json"))
+    rows = sorted(read_back(spark, tmp_path, awkward, tokenizer, parts=3),
+                  key=lambda r: r["start"])
+    ids = [r["doc_id"] for r in rows]
+    assert ids[0] is None and ids[1:] == [1, 2, 3, 4, 4, *range(5, 13)]
+    held = {r["doc_id"]: r["text"] for r in awkward.collect()}
+    start = 0
+    for r in rows:
+        expected = whole_ids(tok, held[r["doc_id"]], 0)
+        assert r["start"] == start and bytes(r["ids"]) == expected.tobytes()
+        start += len(expected)
+
+
+def test_no_documents(spark, make_docs, tokenizer, tmp_path):
+    empty = make_docs()
+    assert read_back(spark, tmp_path, empty, tokenizer) == []
+    assert packing.pack(empty, tokenizer("word_bpe_49k.json"), 2).collect() == []
+    assert bpe_count.count_tokens(empty, tokenizer("piece_bpe_32k.model")).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 5000), max_size=300))
+def test_elias_fano(steps):
+    values = np.cumsum(steps).astype(np.int64)
+    coded = elias_fano.EliasFano.from_bytes(elias_fano.EliasFano.of(values).to_bytes())
+    assert coded.all().tolist() == values.tolist()
+    assert [coded.select(i) for i in range(len(values))] == values.tolist()
+
+
+def test_elias_fano_is_small():
+    values = np.sort(np.random.default_rng(0).integers(0, 1_000_000, 1000))
+    bits = 8 * (len(elias_fano.EliasFano.of(values).to_bytes()) - 32) / 1000
+    assert bits < 2 + np.log2(1000) + 64 / elias_fano.SAMPLE + 1
+
+
+def check_packing(pieces, held, tok, window):
+    """Every id in one piece, sequences without gaps and of the allowed lengths."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in pieces:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    counts = defaultdict(int)
+    for doc_id, text in held:
+        counts[doc_id, text] += 1
+    for (doc_id, text), copies in counts.items():
+        ids = whole_ids(tok, text, 2)
+        found = sorted(by_doc[doc_id], key=lambda r: r["start"])
+        covered = np.zeros(len(ids), int)
+        for r in found:
+            assert r["doc_tokens"] == len(ids)
+            part = ids[r["start"]:r["start"] + r["length"]]
+            assert bytes(r["ids"]) == part.tobytes()
+            covered[r["start"]:r["start"] + r["length"]] += 1
+        assert (covered == copies).all()
+    for rows in by_sequence.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r["offset"]):
+            assert r["offset"] == at and r["length"] > 0
+            at += r["length"]
+        assert at == r["sequence_tokens"] <= window
+        assert at == window or at & (at - 1) == 0
+
+
+@pytest.mark.parametrize("window", [4096, 100])
+def test_packing(documents, texts, tokenizer, window):
+    path = tokenizer("word_bpe_49k.json")
+    pieces = packing.pack(documents, path, 2, window=window).collect()
+    check_packing(pieces, list(texts.items()), library(path), window)
+
+
+def test_packing_awkward_documents(awkward, tokenizer):
+    path = tokenizer("word_bpe_49k.json")
+    held = [(r["doc_id"], r["text"]) for r in awkward.collect()]
+    check_packing(packing.pack(awkward, path, 2).collect(), held, library(path), 4096)
+
+
+def test_combinations_fill_the_window():
+    matrix = packing.combinations(12, 3)
+    assert (np.arange(1, 13) @ matrix == 12).all()
+    assert len({tuple(c) for c in matrix.T}) == matrix.shape[1] == 19  # partitions of 12
+
+
+def test_least_squares_by_brute_force():
+    draw = np.random.default_rng(3)
+    for _ in range(20):
+        matrix, target = draw.random((4, 3)), draw.normal(size=4)
+        x = packing.nnls(matrix, target)
+        best = min(np.linalg.norm(matrix[:, s] @ np.maximum(
+            np.linalg.lstsq(matrix[:, s], target, rcond=None)[0], 0) - target)
+            for s in [list(map(int, np.flatnonzero([m >> i & 1 for i in range(3)])))
+                      for m in range(8)])
+        assert (x >= 0).all() and np.linalg.norm(matrix @ x - target) <= best + 1e-9
+
+
+def test_plan_uses_the_solution():
+    """Lengths made of exact combinations need no cut."""
+    lengths = [64 * 10, 64 * 54] * 50 + [64 * 20, 64 * 20, 64 * 24] * 30
+    plan = packing.plan(lengths, 4096, packing.combinations(64, 4))
+    assert len(plan) == 80 and all(n == lengths[p] for s in plan for p, _, n in s)
+
+
+@pytest.fixture(scope="module")
+def sentencepieces(tokenizer):
+    import sentencepiece
+    path = tokenizer("piece_bpe_32k.model")
+    return bpe_count.MergeRanks.load(path), sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abthe nou▁ é日\n\t<s>1.\x00ﬁ", max_size=40), max_size=5))
+def test_counts(sentencepieces, found):
+    ranks, model = sentencepieces
+    assert ranks.of_texts(pa.array(found, pa.string())).tolist() == [
+        len(model.encode(t)) for t in found]
+
+
+def test_counts_of_documents(awkward, documents, texts, tokenizer, sentencepieces):
+    model = sentencepieces[1]
+    path = tokenizer("piece_bpe_32k.model")
+    counted = bpe_count.flag_long(bpe_count.count_tokens(documents, path), 500).collect()
+    assert len(counted) == len(texts)
+    for r in counted:
+        n = len(model.encode(texts[r["doc_id"]]))
+        assert (r["n_tokens"], r["over_limit"]) == (n, n > 500)
+        assert r["n_bytes"] == len(texts[r["doc_id"]].encode())
+    held = sorted((len((r["text"] or "").encode()), len(model.encode(r["text"] or "")))
+                  for r in awkward.collect())
+    assert sorted((r["n_bytes"], r["n_tokens"])
+                  for r in bpe_count.count_tokens(awkward, path).collect()) == held
+
+
+def test_a_model_that_merges_across_spaces_is_refused():
+    with pytest.raises(ValueError):
+        bpe_count.MergeRanks({"a▁b": 1.0})
+
+
+def test_crc_of_pieces(documents, tokenizer):
+    path = tokenizer("word_bpe_49k.json")
+    pieces = packing.pack(documents.where("doc_id < 20"), path, 2)
+    crc = {(r["doc_id"], r["start"]): r["ids_crc32"] for r in packing.digest(pieces).collect()}
+    for r in pieces.collect():
+        assert zlib.crc32(bytes(r["ids"])) == crc[r["doc_id"], r["start"]]
