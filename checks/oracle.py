@@ -7,7 +7,8 @@ forms.
 
 import re
 
-from checks.parameters import AS_OF, DIGITS, END, REPLICATES, SEED, START
+from checks.parameters import (ALERT_AS_OF, AS_OF, DIGITS, END, FEW_BUCKETS, REPAIRED,
+                               REPLICATES, SEED, START)
 
 TODAY, DAY, FIRST = "DATE '2024-01-30'", "DATE '2024-01-29'", "DATE '2024-01-22'"
 
@@ -120,9 +121,8 @@ shares AS (
   FROM overlap)"""
 
 SEGMENT_KEYS = """CAST(time AS DATE) AS date,
-    coalesce((SELECT band FROM (VALUES (0, 17, '<18'), (18, 30, '18-30'), (31, 45, '30-45'))
-              bands(youngest, oldest, band) WHERE age BETWEEN youngest AND oldest), '45+')
-    AS age_groups,
+    CASE WHEN age < 18 THEN '<18' WHEN age <= 30 THEN '18-30' WHEN age <= 45 THEN '30-45'
+         ELSE '45+' END AS age_groups,
     country, os, source"""
 
 
@@ -160,8 +160,12 @@ SEGMENT_COLUMNS = ("date, age_groups, country, os, source, messages, messenger_u
 
 def _cells(column, *values):
     sums = ", ".join(
-        f"CAST(sum(users) FILTER (WHERE {column} = '{v}') AS BIGINT) AS {v}" for v in values)
-    return f"SELECT date, {sums} FROM source_os GROUP BY date"
+        f"CAST(coalesce(sum(users) FILTER (WHERE {column} = '{v}'), 0) AS BIGINT) AS {v}"
+        for v in values)
+    return f"""SELECT date, {sums},
+      CAST(sum(users) - coalesce(sum(users) FILTER (WHERE {column} IN {values}), 0) AS BIGINT)
+        AS other, CAST(sum(users) AS BIGINT) AS total
+    FROM source_os GROUP BY date"""
 
 
 SOURCE_OS = f"""
@@ -187,11 +191,11 @@ SELECT o.date,
   || 'Messages: ' || messages || chr(10) || 'Likes: ' || likes || chr(10)
   || 'Views: ' || views || chr(10) || 'CTR: ' || {shown("likes / views")} || chr(10) || chr(10)
   || 'Sources:' || chr(10)
-  || '    Organic: ' || {shown("organic / (organic + ads) * 100")} || '%' || chr(10)
-  || '    Ads: ' || {shown("ads / (organic + ads) * 100")} || '%' || chr(10) || chr(10)
+  || '    Organic: ' || {shown("organic / by_source.total * 100")} || '%' || chr(10)
+  || '    Ads: ' || {shown("ads / by_source.total * 100")} || '%' || chr(10) || chr(10)
   || 'OS:' || chr(10)
-  || '    iOS: ' || {shown("iOS / (iOS + Android) * 100")} || '%' || chr(10)
-  || '    Android: ' || {shown("Android / (iOS + Android) * 100")} || '%' AS message
+  || '    iOS: ' || {shown("iOS / by_os.total * 100")} || '%' || chr(10)
+  || '    Android: ' || {shown("Android / by_os.total * 100")} || '%' AS message
 FROM overlap o JOIN shares s USING (date) JOIN totals USING (date)
   JOIN by_source USING (date) JOIN by_os USING (date)"""
 
@@ -215,10 +219,14 @@ metrics AS (
 
 
 # A day's midnight must not lie before the same moment of the previous day.
-LIVE = interval_rows(
-    f"CAST(CAST(time AS DATE) AS TIMESTAMP) BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 1 DAY "
-    f"AND TIMESTAMP '{AS_OF}' "
-    f"AND time < time_bucket(INTERVAL 15 MINUTES, TIMESTAMP '{AS_OF}')")
+def live(as_of):
+    return interval_rows(
+        f"CAST(CAST(time AS DATE) AS TIMESTAMP) BETWEEN TIMESTAMP '{as_of}' - INTERVAL 1 DAY "
+        f"AND TIMESTAMP '{as_of}' "
+        f"AND time < time_bucket(INTERVAL 15 MINUTES, TIMESTAMP '{as_of}')")
+
+
+LIVE = live(AS_OF)
 METRIC_COLUMNS = ("date, time, interval, feed_users, likes, views, messenger_users, "
                   "messages_sent, " + rounded("ctr"))
 
@@ -323,10 +331,14 @@ ab_totals AS (
   FROM ab GROUP BY exp_group),
 smoothed AS (
   SELECT ab.*, global_ctr, (ab.likes + 5 * global_ctr) / (5 + ab.views) AS smoothed_ctr
-  FROM ab JOIN ab_totals USING (exp_group) WHERE exp_group IN (1, 2)),
-buckets AS (
-  SELECT exp_group, ((((w1 % 50 * 4294967296 + w2) % 50) * 4294967296 + w3) % 50
-                     * 4294967296 + w4) % 50 AS buckets,
+  FROM ab JOIN ab_totals USING (exp_group) WHERE exp_group IN (1, 2))"""
+
+
+def bucket_rows(n, name="buckets"):
+    return f"""
+{name} AS (
+  SELECT exp_group, ((((w1 % {n} * 4294967296 + w2) % {n}) * 4294967296 + w3) % {n}
+                     * 4294967296 + w4) % {n} AS buckets,
          CAST(sum(likes) AS BIGINT) AS likes, CAST(sum(views) AS BIGINT) AS views,
          sum(likes) / nullif(sum(views), 0) AS bucket_ctr
   FROM (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS w1,
@@ -337,6 +349,9 @@ buckets AS (
   WHERE exp_group IN (1, 2) GROUP BY ALL)"""
 
 
+USERS = f"{USERS},{bucket_rows(50)},{bucket_rows(FEW_BUCKETS, 'few_buckets')}"
+
+
 def linearized(control, *groups):
     return f"""
 linearized AS (
@@ -375,9 +390,9 @@ welch_p AS (
 WELCH_COLUMNS = "n_a, n_b, n_dropped, " + rounded(
     "mean_a", "mean_b", "var_a", "var_b", "statistic", "df", "p_value")
 
-# Midranks; the tail of the normal distribution by integration from 0 to |z|. Samples of
-# at most 8 values without ties (as at the smallest scale) have an exact distribution
-# instead, which the tests check by enumeration.
+# Midranks; the tail of the normal distribution by integration from 0 to |z|. With at most
+# 8 values on a side and no ties, the distribution is exact: `ways` counts, rank by rank,
+# how many choices of k ranks have the sum s.
 MANN_WHITNEY = """
 ranked AS (
   SELECT side, x, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2 AS midrank
@@ -393,15 +408,29 @@ u_values AS (
   SELECT *, r_a - n_a * (n_a + 1) / 2 AS u_a, n_a * n_b - (r_a - n_a * (n_a + 1) / 2) AS u_b
   FROM rank_sums),
 u_scores AS (
-  SELECT *, 'asymptotic' AS method,
+  SELECT *, CASE WHEN least(n_a, n_b) = 0 THEN 'undefined'
+                 WHEN least(n_a, n_b) <= 8 AND ties = 0 THEN 'exact'
+                 ELSE 'asymptotic' END AS method,
          (greatest(u_a, u_b) - n_a * n_b / 2 - 0.5)
          / sqrt(n_a * n_b / 12 * ((n_a + n_b + 1)
                 - ties / ((n_a + n_b) * (n_a + n_b - 1)))) AS z
   FROM u_values, tie_term),
+ways AS (
+  SELECT 0 AS i, 0 AS k, 0 AS s, 1::DOUBLE AS c
+  UNION ALL
+  SELECT i + 1, k + taken, s + taken * (i + 1), sum(c)
+  FROM ways, (VALUES (0), (1)) choice(taken), u_scores
+  WHERE method = 'exact' AND i < n_a + n_b AND k + taken <= n_a
+  GROUP BY i + 1, k + taken, s + taken * (i + 1)),
+exact_p AS (
+  SELECT least(1, 2 * sum(c) FILTER (WHERE s - n_a * (n_a + 1) / 2 >= greatest(u_a, u_b))
+                  / sum(c)) AS p
+  FROM ways, u_scores WHERE i = n_a + n_b AND k = n_a),
 mann_whitney AS (
-  SELECT u_scores.*, least(1, 1 - (
+  SELECT u_scores.*, CASE method WHEN 'exact' THEN (SELECT p FROM exact_p)
+      WHEN 'asymptotic' THEN least(1, 1 - (
       SELECT 2 * sum(exp(-0.5 * (z * (k + 0.5) / 20000) ** 2)) / sqrt(2 * pi()) * z / 20000
-      FROM range(20000) steps(k))) AS p_value
+      FROM range(20000) steps(k))) END AS p_value
   FROM u_scores)"""
 MANN_WHITNEY_COLUMNS = "n_a, n_b, n_dropped, method, " + rounded("u_a", "u_b", "z", "p_value")
 
@@ -476,7 +505,7 @@ bins AS (
 def _numbered(parts, number):
     """Copies of test steps under numbered names, to hold several in one query."""
     names = ("sample", "moments", "welch_p", "welch", "ranked", "tie_term", "rank_sums",
-             "u_values", "u_scores", "mann_whitney", "linearized")
+             "u_values", "u_scores", "ways", "exact_p", "mann_whitney", "linearized")
     return re.sub(rf"\b({'|'.join(names)})\b", rf"\1_{number}", parts)
 
 
@@ -514,6 +543,7 @@ closed AS (
 
 ORACLE = {
     "feed_daily": query(f"SELECT {DAILY_COLUMNS} FROM daily", DAILY),
+    "feed_daily_by_day": query(f"SELECT {DAILY_COLUMNS} FROM daily", DAILY),
     "feed_week_head": query(f"SELECT {DAILY_COLUMNS} FROM daily ORDER BY Date LIMIT 7", DAILY),
     "feed_latest_message": query("""
 SELECT Date, 'Date    ' || lpad(CAST(Date AS VARCHAR) || ' 00:00:00', 23, ' ') || chr(10)
@@ -535,6 +565,7 @@ FROM daily ORDER BY Date DESC LIMIT 1""", DAILY),
     "messenger_only_users": query(MESSENGER_ONLY),
     "both_users": query(BOTH),
     "user_overlap": query("SELECT * FROM overlap", OVERLAP),
+    "user_overlap_by_name": query("SELECT * FROM overlap", OVERLAP),
     "user_overlap_pct": query("SELECT date, " + rounded(
         "purely_feed_users", "purely_messenger_users", "both_func_users") + " FROM shares",
         OVERLAP),
@@ -563,6 +594,10 @@ FROM daily ORDER BY Date DESC LIMIT 1""", DAILY),
                              band(SMOOTHED, CENTERED)),
     "alerts_trailing": query(f"SELECT {BAND_COLUMNS} FROM flagged", LIVE, SINGLE, HOLT,
                              band(SMOOTHED, TRAILING)),
+    "check_alerts": query(
+        f"SELECT metric, date, time, interval, value, is_alert, message FROM (SELECT {ALERT_COLUMNS} "
+        "FROM flagged WHERE is_alert AND time = (SELECT max(time) FROM flagged))",
+        live(ALERT_AS_OF), SINGLE, HOLT, band(SMOOTHED, TRAILING)),
     "alerts_latest": query(
         f"SELECT {ALERT_COLUMNS} FROM flagged "
         "WHERE time = (SELECT max(time) FROM flagged)", LIVE, SINGLE, HOLT,
@@ -586,6 +621,12 @@ FROM daily ORDER BY Date DESC LIMIT 1""", DAILY),
     "mwu_ctr": mann_whitney("ab", "ctr", (1, 2)),
     "mwu_smoothed": mann_whitney("smoothed", "smoothed_ctr", (1, 2)),
     "mwu_buckets": mann_whitney("buckets", "bucket_ctr", (1, 2)),
+    "mwu_small": mann_whitney("few_buckets", "bucket_ctr", (1, 2)),
+    "bootstrap_cells": query("SELECT exp_group, likes, views, count(*) AS k FROM ab "
+                             "WHERE exp_group IN (1, 2) GROUP BY ALL", USERS),
+    "bootstrap_by_cell": query(
+        f"SELECT exp_group, range AS replicate FROM ab_totals, range({REPLICATES}) "
+        "WHERE exp_group IN (1, 2)", USERS),
     "bootstrap_ctr": query(f"SELECT exp_group, replicate, {rounded('global_ctr')} "
                            "FROM replicates", USERS, BOOTSTRAP),
     "hist_ctr": histogram("ab", "ctr", (1, 2)),
@@ -602,4 +643,9 @@ FROM daily ORDER BY Date DESC LIMIT 1""", DAILY),
     "stream_alerts": query(
         f"SELECT {ALERT_COLUMNS} FROM flagged WHERE is_alert", interval_rows("true"), CLOSED,
         single("closed"), holt("closed"), band(SMOOTHED, TRAILING)),
+    "stream_repaired": query(
+        f"SELECT {ALERT_COLUMNS} FROM flagged WHERE is_alert "
+        f"AND date IN ({', '.join(f'DATE {str(d)!r}' for d in REPAIRED)})",
+        interval_rows("true"), CLOSED, single("closed"), holt("closed"),
+        band(SMOOTHED, TRAILING)),
 }

@@ -9,11 +9,12 @@ from functools import cached_property
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.parameters import AS_OF, DIGITS, END, REPLICATES, SEED, START
+from checks.parameters import (ALERT_AS_OF, AS_OF, DIGITS, END, FEW_BUCKETS, REPAIRED,
+                               REPLICATES, SEED, START)
 from tidemark.functions.clock import AsOf
 from tidemark.operators import activity, audience, segments
 from tidemark.operators.bands import add_band, latest_points
-from tidemark.operators.bootstrap import bootstrap_by_user
+from tidemark.operators.bootstrap import bootstrap_by_cell, bootstrap_by_user, cells
 from tidemark.operators.experiment import (bucketed, experiment_users, group_ctr, linearized,
                                            smoothed_ctr)
 from tidemark.operators.histogram import histogram
@@ -26,11 +27,12 @@ from tidemark.plans.daily_cube import daily_cube, run_daily_cube
 from tidemark.plans.experiment import ctr_experiment, linearized_experiment
 from tidemark.sources.derived_events import (feed_from_events, messages_from_events,
                                              read_events, stream_events)
-from tidemark.sources.event_tables import read_tsv, write_tsv
+from tidemark.sources.event_tables import (feed_actions, message_actions, read_tsv,
+                                           write_by_day, write_tsv)
 from tidemark.sources.fact_table import read_daily_activity
 from tidemark.sources.shared_folder import new_path
-from tidemark.streaming.intervals import (interval_stream, read_alerts, start_alerts,
-                                          write_intervals)
+from tidemark.streaming.intervals import (interval_stream, read_alerts, repair_day,
+                                          start_alerts, write_intervals)
 
 CLOCK = AsOf.of(AS_OF)
 DAY = CLOCK.yesterday
@@ -88,6 +90,23 @@ class Tables:
         return bootstrap_by_user(self.users(1, 2), REPLICATES, SEED, "md5")
 
 
+def _feed_daily_by_day(t):
+    """The feed report over the table laid out by day and read by its path."""
+    path = new_path(t.spark, "feed-by-day")
+    write_by_day(t.feed, path)
+    return feed_report.feed_daily(feed_actions(t.spark, path=path), CLOCK)
+
+
+def _overlap_by_name(t):
+    """The overlap over tables found by the name of their database."""
+    database = "product_" + new_path(t.spark, "")[-32:]
+    t.spark.sql(f"CREATE DATABASE {database}")
+    for name, rows in (("feed_actions", t.feed), ("message_actions", t.messages)):
+        rows.write.option("path", new_path(t.spark, name)).saveAsTable(f"{database}.{name}")
+    return audience.user_overlap(feed_actions(t.spark, database=database),
+                                 message_actions(t.spark, database=database), DAY)
+
+
 def _tsv_round_trip(t):
     stats = activity.user_feed_stats(t.feed)
     path = new_path(t.spark, "feed-stats-tsv")
@@ -126,6 +145,19 @@ def _streamed_alerts(spark, sf_dir):
     return read_alerts(spark, target)
 
 
+def _repaired(spark, sf_dir):
+    """Alerts of all days after a stream that took the newest day first, day by day repaired."""
+    t = Tables(spark, sf_dir)
+    intervals, alerts_path = new_path(spark, "alert-intervals"), new_path(spark, "alerts")
+    events = stream_events(spark, sf_dir)
+    late = interval_stream(*[f(events).where(f"to_date(time) = '{CLOCK.today}'")
+                             for f in (feed_from_events, messages_from_events)])
+    start_alerts(late, intervals, alerts_path, new_path(spark, "checkpoint")).awaitTermination()
+    for day in REPAIRED:
+        repair_day(*t.both, day, intervals, alerts_path)
+    return read_alerts(spark, alerts_path).where(F.col("date").isin(*REPAIRED))
+
+
 def _smoothed(t, method):
     names = {"single": MESSENGER_METRICS, "holt": FEED_METRICS}[method]
     return alerts.smoothed_metrics(t.metrics(), names)
@@ -142,6 +174,7 @@ def _alerts(band):
 _OVER_TABLES = {
     # feed report
     "feed_daily": lambda t: feed_report.feed_daily(t.feed, CLOCK),
+    "feed_daily_by_day": _feed_daily_by_day,
     "feed_week_head": lambda t: feed_report.feed_week_head(
         feed_report.feed_daily(t.feed, CLOCK)),
     "feed_latest_message": lambda t: feed_report.feed_latest_message(
@@ -161,6 +194,7 @@ _OVER_TABLES = {
     "messenger_only_users": lambda t: audience.messenger_only_users(*t.both, DAY),
     "both_users": lambda t: audience.both_users(*t.both, DAY),
     "user_overlap": lambda t: audience.user_overlap(*t.both, DAY),
+    "user_overlap_by_name": _overlap_by_name,
     "user_overlap_pct": lambda t: audience.overlap_shares(audience.user_overlap(*t.both, DAY)),
     "segment_daily": lambda t: t.segments(),
     "segment_daily_full": lambda t: t.segments("full"),
@@ -181,6 +215,8 @@ _OVER_TABLES = {
     "band_holt": lambda t: _banded(t, "holt"),
     "alerts_centered": _alerts("centered"),
     "alerts_trailing": _alerts("trailing"),
+    "check_alerts": lambda t: alerts.check_alerts(*t.both, ALERT_AS_OF).select(
+        "metric", "date", "time", "interval", "value", "is_alert", "message"),
     "alerts_latest": lambda t: alerts.with_message(latest_points(_alerts("trailing")(t))),
     # experiments
     "ab_users": lambda t: t.users(0, 1, 2, 3),
@@ -197,7 +233,13 @@ _OVER_TABLES = {
     "mwu_ctr": lambda t: mann_whitney_test(t.users(1, 2), "ctr", (1, 2)),
     "mwu_smoothed": lambda t: mann_whitney_test(t.smoothed(), "smoothed_ctr", (1, 2)),
     "mwu_buckets": lambda t: mann_whitney_test(t.buckets(), "bucket_ctr", (1, 2)),
+    "mwu_small": lambda t: mann_whitney_test(
+        bucketed(t.users(1, 2), n_buckets=FEW_BUCKETS), "bucket_ctr", (1, 2)),
     "bootstrap_ctr": lambda t: t.replicates(),
+    "bootstrap_cells": lambda t: cells(t.users(1, 2)),
+    # The draws differ from engine to engine; that all of them are there does not.
+    "bootstrap_by_cell": lambda t: bootstrap_by_cell(t.users(1, 2), REPLICATES, SEED).select(
+        "exp_group", F.col("replicate").cast("bigint")),
     "hist_ctr": lambda t: histogram(t.users(1, 2), "ctr", (1, 2)),
     "hist_ctr_0_3": lambda t: histogram(t.users(0, 3), "ctr", (0, 3)),
     "hist_smoothed": lambda t: histogram(t.smoothed(), "smoothed_ctr", (1, 2)),
@@ -219,4 +261,5 @@ QUERIES = {name: _over_tables(build) for name, build in _OVER_TABLES.items()} |
     "stream_interval_metrics": lambda spark, sf_dir: comparable(
         _streamed_intervals(spark, sf_dir)),
     "stream_alerts": lambda spark, sf_dir: comparable(_streamed_alerts(spark, sf_dir)),
+    "stream_repaired": lambda spark, sf_dir: comparable(_repaired(spark, sf_dir)),
 }

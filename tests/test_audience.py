@@ -66,6 +66,19 @@ def test_pivots_equal_pandas(feed):
                                      aggfunc="sum").iloc[0].to_dict()
         found = rows(segments.pivot_users(users, column, values))[0]
         assert {v: found[v] for v in values} == expected
+        assert found["other"] == 0 and found["total"] == sum(expected.values())
+
+
+def test_pivots_lose_no_value(make_feed, messages):
+    days = [dict(user_id=u, source=s, time=datetime(2024, 1, 29, 3)) for u, s in
+            enumerate(["ads"] * 10 + ["organic"] * 10 + ["referral"] * 70 + [None] * 10)]
+    feed = make_feed(days)
+    found = rows(segments.pivot_users(segments.source_os_users(feed, DAY), "source",
+                                      ("ads", "organic")))[0]
+    assert {k: found[k] for k in ("ads", "organic", "other", "total")} == {
+        "ads": 10, "organic": 10, "other": 80, "total": 100}
+    text = rows(audience_report(feed, messages, "2024-01-30 11:00:00").summary)[0]["message"]
+    assert "    Organic: 10.0%\n    Ads: 10.0%" in text
 
 
 def test_report_text_matches_its_frames(feed, messages):

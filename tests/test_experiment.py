@@ -93,6 +93,14 @@ def test_student_tail_against_the_bundled_statistics_library(spark):
             2 * make(float(df)).cumulativeProbability(float(-t)), rel=1e-8, abs=1e-14)
 
 
+def test_student_tail_with_many_degrees_of_freedom():
+    for t in (0.3, 1.0, 3.0):
+        for df in (1e9, 1e12, 1e14):
+            assert student_two_sided(t, df) == pytest.approx(normal_two_sided(t), abs=1e-9)
+        before, after = student_two_sided(t, 0.99e7), student_two_sided(t, 1.01e7)
+        assert before == pytest.approx(after, abs=1e-9)
+
+
 def test_welch_by_hand(samples):
     test = rows(welch_test(samples([1, 2, 3, 4, None], [2, 4, 6]), "x", (1, 2)))[0]
     assert (test["n_a"], test["n_b"], test["n_dropped"]) == (4, 3, 1)
@@ -160,7 +168,23 @@ def test_exact_distribution_sums_to_one():
 
 def test_all_values_tied(samples):
     test = rows(mann_whitney_test(samples([5.0] * 20, [5.0] * 30), "x", (1, 2)))[0]
-    assert test["u_a"] == test["u_b"] == 300 and test["z"] is None and test["p_value"] is None
+    assert test["u_a"] == test["u_b"] == 300 and test["z"] is None
+    assert test["p_value"] == 1.0
+
+
+@pytest.mark.parametrize("b", [[], [None, None]])
+def test_group_without_values_has_no_p(samples, b):
+    test = rows(mann_whitney_test(samples([1.0, 2.0, 3.0], b), "x", (1, 2)))[0]
+    assert (test["n_a"], test["n_b"], test["n_dropped"]) == (3, 0, len(b))
+    assert test["method"] == "undefined" and test["z"] is None and test["p_value"] is None
+
+
+def test_exact_whatever_the_size_of_the_other_group(spark):
+    values = spark.range(200_000).selectExpr("1 AS exp_group", "cast(id AS double) AS x")
+    few = spark.range(8).selectExpr("2 AS exp_group", "id * 25000 + 0.5 AS x")
+    test = rows(mann_whitney_test(values.union(few), "x", (1, 2)))[0]
+    assert (test["method"], test["n_a"], test["n_b"]) == ("exact", 200_000, 8)
+    assert test["p_value"] == pytest.approx(normal_two_sided(test["z"]), abs=0.02)
 
 
 # --------------------------------------------------------- buckets, bootstrap
@@ -201,6 +225,21 @@ def test_bootstrap_does_not_depend_on_partitioning(users, draw):
     assert len(first) == 800
 
 
+def test_cells_are_drawn_in_all_tasks(spark):
+    """Also where few bytes would be put into one task."""
+    users = spark.range(2000).selectExpr("id AS user_id", "id % 2 AS exp_group", "id AS likes",
+                                         "id + 1 AS views")
+    key = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    spark.conf.set(key, "false")
+    try:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        plan = bootstrap_by_cell(users, 10)
+        plan.collect()
+        assert f", {tasks}), REPARTITION_BY_NUM" in plan_of(plan)
+    finally:
+        spark.conf.unset(key)
+
+
 def test_bootstrap_variants_agree_in_distribution(spark):
     source = np.random.default_rng(4)
     views = source.integers(1, 8, 3000)

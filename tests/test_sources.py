@@ -81,6 +81,26 @@ def test_jdbc_options():
     assert split["dbtable"] == "(SELECT * FROM t) source" and split["numPartitions"] == "31"
 
 
+def test_jdbc_names_are_no_queries():
+    for name in ("selected_users", "with_demo"):
+        assert event_tables.jdbc_options("jdbc:x", name)["dbtable"] == name
+        split = event_tables.jdbc_options("jdbc:x", name, partition_column="day", lower=1,
+                                          upper=9, partitions=2)
+        assert split["dbtable"] == name
+    with pytest.raises(ValueError):
+        event_tables.jdbc_options("jdbc:x", "t", partition_column="day", lower=1)
+
+
+def test_jdbc_common_tables_go_ahead():
+    query = "WITH a AS (SELECT 'select ' AS x FROM t), b AS (SELECT 2)\nSELECT * FROM a, b"
+    options = event_tables.jdbc_options("jdbc:x", query)
+    assert options["prepareQuery"].endswith("b AS (SELECT 2)")
+    assert options["query"] == "SELECT * FROM a, b"
+    with pytest.raises(ValueError):
+        event_tables.jdbc_options("jdbc:x", query, partition_column="x", lower=1, upper=2,
+                                  partitions=2)
+
+
 def test_loading_again_replaces_only_its_date(spark, feed, messages):
     table = "daily_activity_test"
     for as_of in ("2024-01-29", "2024-01-30", "2024-01-30"):

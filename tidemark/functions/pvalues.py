@@ -17,20 +17,45 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A sample this small is compared with the exact distribution when no values tie.
 EXACT_LIMIT = 8
+# From so many degrees of freedom on Wallace's transformation to a normal deviate is closer
+# than the fraction, which cancels.
+NORMAL_FROM = 1e7
+# The continued fraction needs about sqrt(max(a, b)) steps; far beyond that something is wrong.
+FRACTION_STEPS = 1_000_000
 
 
-def _beta_tail(a, b, x):
-    """Regularised incomplete beta I_x(a, b) by its continued fraction (Lentz)."""
-    if x <= 0.0 or x >= 1.0:
+def _lgamma_step(a, b):
+    """lgamma(a + b) - lgamma(a). For large `a` both are nearly equal, so their
+    difference is taken term by term from Stirling's series."""
+    if a < 1e3:
+        return math.lgamma(a + b) - math.lgamma(a)
+
+    def tail(z):
+        return 1.0 / (12.0 * z) - 1.0 / (360.0 * z ** 3)
+    return ((a - 0.5) * math.log1p(b / a) + b * math.log(a + b) - b
+            + tail(a + b) - tail(a))
+
+
+def _beta_tail(a, b, x, rest):
+    """Regularised incomplete beta I_x(a, b) by its continued fraction (Lentz).
+
+    `rest` is 1 - x, given so that no digits are lost where x is close to 1.
+    """
+    if x <= 0.0 or rest <= 0.0:
         return 0.0 if x <= 0.0 else 1.0
     if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - _beta_tail(b, a, 1.0 - x)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                     + a * math.log(x) + b * math.log1p(-x)) / a
+        return 1.0 - _beta_tail(b, a, rest, x)
+    log_x = math.log1p(-rest) if rest < 0.5 else math.log(x)
+    log_rest = math.log(rest) if rest < 0.5 else math.log1p(-x)
+    small, large = sorted((a, b))
+    front = math.exp(_lgamma_step(large, small) - math.lgamma(small)
+                     + a * log_x + b * log_rest) / a
     tiny = 1e-300
     c, d = 1.0, 1.0 / ((1.0 - (a + b) * x / (a + 1.0)) or tiny)
     value = d
-    for m in range(1, 10_000):
+    m = 0
+    while True:
+        m += 1
         even = m * (b - m) * x / ((a + 2 * m - 1.0) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1.0))
         for step in (even, odd):
@@ -38,8 +63,9 @@ def _beta_tail(a, b, x):
             c = (1.0 + step / c) or tiny
             value *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return front * value
+            return front * value
+        if m > FRACTION_STEPS:
+            raise ArithmeticError(f"incomplete beta of ({a}, {b}, {x}) does not converge")
 
 
 def student_two_sided(t, df):
@@ -48,7 +74,10 @@ def student_two_sided(t, df):
         return math.nan
     if math.isinf(t):
         return 0.0
-    return _beta_tail(df / 2.0, 0.5, df / (df + t * t))
+    if df > NORMAL_FROM:
+        z = math.sqrt(df * math.log1p(t * t / df)) * (8.0 * df + 1.0) / (8.0 * df + 3.0)
+        return normal_two_sided(z)
+    return _beta_tail(df / 2.0, 0.5, df / (df + t * t), t * t / (df + t * t))
 
 
 def normal_two_sided(z):

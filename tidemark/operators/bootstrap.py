@@ -89,14 +89,22 @@ def bootstrap_by_user(users, replicates=1000, seed=0, algorithm="xxhash64"):
             .where(F.col("replicate") < replicates))
 
 
+def cells(users):
+    """Users with equal counts as one row with their number `k`."""
+    return users.groupBy(GROUP, "likes", "views").agg(F.count("*").alias("k"))
+
+
 def bootstrap_by_cell(users, replicates=1000, seed=0):
     """The same distribution with one draw per distinct (group, likes, views).
 
     k users with equal counts add up to a Poisson(k) weight, so the cost follows
     the number of distinct count pairs instead of the number of users. Each cell
-    seeds its own generator; a task adds up its cells before anything moves.
+    seeds its own generator; a task adds up its cells before anything moves. A cell is
+    a few bytes and `replicates` draws, so cells are dealt to a number of tasks that
+    does not follow their bytes.
     """
-    cells = users.groupBy(GROUP, "likes", "views").agg(F.count("*").alias("k"))
+    tasks = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = cells(users).repartition(tasks, GROUP, "likes", "views")
 
     def draw(batches):
         sums = {}
@@ -111,7 +119,7 @@ def bootstrap_by_cell(users, replicates=1000, seed=0):
             yield pd.DataFrame({GROUP: group, "replicate": np.arange(replicates),
                                 "likes": likes, "views": views})
 
-    partial = cells.mapInPandas(
+    partial = spread.mapInPandas(
         draw, f"{GROUP} bigint, replicate int, likes bigint, views bigint")
     return (partial.groupBy(GROUP, "replicate")
             .agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"))

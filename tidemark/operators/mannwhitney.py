@@ -6,10 +6,6 @@ from tidemark.functions.pvalues import EXACT_LIMIT, rank_sum_p
 from tidemark.functions.scalars import ratio
 from tidemark.operators.ordering import N_RANGES, RANGE, before, with_value_range
 
-# The exact distribution has n_a * n_b + 1 points; beyond this the normal
-# approximation is indistinguishable and is used (see `method`).
-EXACT_POINTS = 1_000_000
-
 
 def mann_whitney_test(df, value, pair, group="exp_group", n_ranges=N_RANGES):
     """One row: sizes, U of the first group, U of the second, z, method and p.
@@ -17,6 +13,10 @@ def mann_whitney_test(df, value, pair, group="exp_group", n_ranges=N_RANGES):
     U counts the pairs in which the first group is larger, ties as half. Per
     value range that needs only the counts inside the range and how many values
     of the second group lie in lower ranges, so no ranks are joined back.
+
+    `method` is `exact` if a group has at most `EXACT_LIMIT` values and nothing ties, else
+    `asymptotic`. It is `undefined`, without z and p, if a group has no value. If all
+    values tie, z has no finite value and is NULL; p is 1.
     """
     first, second = pair
     counts = (df.where(F.col(group).isin(first, second)).groupBy(value)
@@ -49,12 +49,16 @@ def mann_whitney_test(df, value, pair, group="exp_group", n_ranges=N_RANGES):
     n_a, n_b = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = n_a + n_b
     deviation = F.sqrt(n_a * n_b / 12.0 * (n + 1.0 - ratio(F.col("ties"), n * (n - 1.0))))
-    exact = ((F.least("n_a", "n_b") <= EXACT_LIMIT) & (F.col("ties") == 0)
-             & (n_a * n_b <= EXACT_POINTS))
+    method = (F.when(F.least("n_a", "n_b") == 0, "undefined")
+              .when((F.least("n_a", "n_b") <= EXACT_LIMIT) & (F.col("ties") == 0), "exact")
+              .otherwise("asymptotic"))
+    known = F.col("method") != "undefined"
     return (totals.withColumn("u_b", n_a * n_b - F.col("u_a"))
             .withColumn("u_max", F.greatest("u_a", "u_b"))
-            .withColumns({"z": ratio(F.col("u_max") - n_a * n_b / 2.0 - 0.5, deviation),
-                          "method": F.when(exact, "exact").otherwise("asymptotic")})
-            .withColumn("p_value", rank_sum_p("z", "u_max", "n_a", "n_b",
-                                              F.col("method") == "exact"))
+            .withColumn("method", method)
+            .withColumn("z", F.when(known, ratio(
+                F.col("u_max") - n_a * n_b / 2.0 - 0.5, deviation)))
+            # The correction of a half over no deviation is minus infinity.
+            .withColumn("p_value", F.when(known & F.col("z").isNull(), 1.0).when(
+                known, rank_sum_p("z", "u_max", "n_a", "n_b", F.col("method") == "exact")))
             .select("n_a", "n_b", "n_dropped", "u_a", "u_b", "z", "method", "p_value"))

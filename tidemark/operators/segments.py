@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import (age_band, count_action, distinct_users, during_days,
                                         ratio)
 
+OTHER = "other"
 SEGMENT = ("date", "age_groups", "country", "os", "source")
 
 
@@ -65,8 +66,14 @@ def source_os_users(feed, day, exact=True):
 
 
 def pivot_users(users, column, values):
-    """One column of summed users per value; a user in two cells counts in both.
+    """One column of summed users per named value, `other` and `total`, per date.
 
-    The values are given, so that no extra job runs to discover them.
+    A user in two cells counts in both. The names are given, so that no extra job
+    runs to discover them; every other value, or none, counts as `other`, and nothing
+    is lost from `total`.
     """
-    return users.groupBy("date").pivot(column, sorted(values)).sum("users")
+    name = F.when(F.col(column).isin(*values), F.col(column)).otherwise(OTHER)
+    columns = [*sorted(values), OTHER]
+    found = users.groupBy("date").agg(
+        *[F.coalesce(F.sum(F.when(name == c, F.col("users"))), F.lit(0)).alias(c) for c in columns])
+    return found.withColumn("total", sum((F.col(c) for c in columns), F.lit(0)))

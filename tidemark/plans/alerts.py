@@ -31,23 +31,32 @@ DAY_SERIES = ("metric", "date")
 
 
 def smoothed_metrics(metrics, names=MESSENGER_METRICS + FEED_METRICS, settings=DEFAULTS,
-                     key=SERIES):
-    """Messenger metrics by simple smoothing, feed metrics by smoothing with trend."""
+                     key=DAY_SERIES):
+    """Messenger metrics by simple smoothing, feed metrics by smoothing with trend.
+
+    Every day is a series of its own, so no group grows with the history;
+    `key=SERIES` smooths on over midnight.
+    """
     level = single(settings.alpha_single)
     trend = holt(settings.alpha_holt, settings.beta_holt)
     recursions = dict.fromkeys(MESSENGER_METRICS, level) | dict.fromkeys(FEED_METRICS, trend)
     return smooth_series(as_series(metrics, names), recursions, key)
 
 
-def banded_metrics(metrics, band="trailing", settings=DEFAULTS, key=SERIES):
-    """All six metrics with band and flag; `key=DAY_SERIES` restarts every day."""
+def banded_metrics(metrics, band="trailing", settings=DEFAULTS, key=DAY_SERIES):
+    """All six metrics with band and flag, day by day; see `smoothed_metrics`."""
     return add_band(smoothed_metrics(metrics, settings=settings, key=key),
                     settings.window, settings.coef, band, key)
 
 
-def check_alerts(feed, messages, as_of, band="trailing", settings=DEFAULTS):
-    """Latest point of every metric whose value left its band, with a message."""
-    banded = banded_metrics(interval_metrics(feed, messages, as_of), band, settings)
+def check_alerts(feed, messages, as_of, band="trailing", settings=DEFAULTS, exact=True):
+    """Latest point of every metric whose value left its band, with a message.
+
+    Just after midnight the day before is still in view and its points count as
+    before: they are one series with those of the new day.
+    """
+    metrics = interval_metrics(feed, messages, as_of, exact=exact)
+    banded = banded_metrics(metrics, band, settings, SERIES)
     return with_message(latest_points(banded)).where("is_alert")
 
 

@@ -66,20 +66,21 @@ def audience_report(feed, messages, as_of, exact=True):
 
 
 def audience_summary(overlap, totals, by_source, by_os):
-    """The report text, joined from frames of one row per day."""
-    row = (overlap.join(totals, "date", "left").join(by_source, "date", "left")
-           .join(by_os, "date", "left"))
+    """The report text, joined from frames of one row per day.
+
+    Shares are of the users of all sources and systems, named in the text or not.
+    """
+    row = overlap.join(totals, "date", "left")
+    for pivot, names in ((by_source, SOURCES), (by_os, SYSTEMS)):
+        shares = [percent(name, "total").alias(name) for name in names]
+        row = row.join(pivot.select("date", *shares), "date", "left")
 
     def rounded(column):
         return half_even(column).cast("string")
 
-    def share(part, names):
-        return rounded(percent(part, sum((F.col(n) for n in names[1:]), F.col(names[0]))))
-
     classes = [c for name in audience.CLASSES
                for c in (F.col(name), rounded(percent(name, "all_unique_users")))]
     return row.select("date", F.format_string(
         SUMMARY, F.col("date").cast("string"), "all_unique_users", *classes,
         "messages", "likes", "views", rounded(ratio("likes", "views")),
-        share("organic", SOURCES), share("ads", SOURCES),
-        share("iOS", SYSTEMS), share("Android", SYSTEMS)).alias("message"))
+        *[rounded(name) for name in ("organic", "ads", "iOS", "Android")]).alias("message"))

@@ -25,8 +25,11 @@ def daily_cube(feed, messages, as_of, date_scope="all", exact=True):
 
 
 def run_daily_cube(spark, feed, messages, as_of, table, location=None, date_scope="all",
-                   append=False):
-    """Create the fact table if needed and load the cube of one run."""
+                   append=False, exact=True):
+    """Create the fact table if needed and load the cube of one run.
+
+    `exact=False` counts distinct users by sketches.
+    """
     create_daily_activity(spark, table, location)
-    load_daily_activity(daily_cube(feed, messages, as_of, date_scope), table,
+    load_daily_activity(daily_cube(feed, messages, as_of, date_scope, exact), table,
                         AsOf.of(as_of).yesterday, append)

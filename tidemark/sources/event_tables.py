@@ -5,6 +5,8 @@ JDBC. Nothing is read until an action runs; filters and column pruning of the
 jobs reach the scan.
 """
 
+import re
+
 from pyspark.sql import functions as F
 
 from tidemark.sources.schemas import FEED_ACTIONS, MESSAGE_ACTIONS, conform
@@ -30,13 +32,23 @@ def jdbc_options(url, query_or_table, *, partition_column=None, lower=None, uppe
     """Options of a JDBC read; credentials come from the caller, never from here.
 
     Without a partition column JDBC yields one task, so a large table must name
-    one; `lower`/`upper` only shape the split, they filter nothing.
+    one with both bounds and a number of partitions; `lower`/`upper` only shape the
+    split, they filter nothing. Common table expressions go ahead of the query that
+    Spark wraps, because several databases refuse them in parentheses; they cannot
+    be split.
     """
     options = {"url": url, "fetchsize": str(fetch_size)}
-    is_query = query_or_table.lstrip().lower().startswith(("select", "with"))
-    if partition_column is None:
+    is_query = re.match(r"\s*select\s", query_or_table, re.IGNORECASE)
+    if re.match(r"\s*with\s", query_or_table, re.IGNORECASE):
+        if partition_column is not None:
+            raise ValueError("a WITH query cannot be split; name a table or a SELECT")
+        tables, last = _split_common_tables(query_or_table)
+        options |= {"prepareQuery": tables, "query": last}
+    elif partition_column is None:
         options["query" if is_query else "dbtable"] = query_or_table
     else:
+        if None in (lower, upper, partitions):
+            raise ValueError("a partition column needs lower, upper and partitions")
         options |= {
             "dbtable": f"({query_or_table}) source" if is_query else query_or_table,
             "partitionColumn": partition_column, "lowerBound": str(lower),
@@ -44,6 +56,22 @@ def jdbc_options(url, query_or_table, *, partition_column=None, lower=None, uppe
     return options | (properties or {})
 
 
+def _split_common_tables(query):
+    """The WITH clause and the SELECT after it: the first one outside parentheses and quotes."""
+    depth, quote = 0, None
+    for i, c in enumerate(query):
+        if quote:
+            quote = None if c == quote else quote
+        elif c in "'\"":
+            quote = c
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif depth == 0 and i and not query[i - 1].isalnum() and re.match(
+                r"select\s", query[i:], re.IGNORECASE):
+            return query[:i].strip(), query[i:]
+    raise ValueError("no SELECT after the WITH clause")
+
+
 def read_jdbc(spark, url, query_or_table, **kwargs):
     """Result of a database query, for users with a driver on the class path."""
     return spark.read.format("jdbc").options(**jdbc_options(url, query_or_table, **kwargs)).load()
