@@ -11,6 +11,8 @@ from tidemark.operators.experiment import experiment_users, linearized, smoothed
 from tidemark.operators.histogram import histogram
 from tidemark.operators.intervals import feed_intervals
 from tidemark.operators.mannwhitney import mann_whitney_test
+from tidemark.operators.ordering import exact_quantiles
+from tidemark.plans.audience_report import day_numbers
 from tidemark.plans.daily_cube import daily_cube
 from tidemark.plans.experiment import ctr_experiment, linearized_experiment
 from tidemark.plans.feed_report import feed_daily
@@ -37,14 +39,30 @@ def test_exact_distinct_counts_are_spread_by_the_counted_user(feed, messages):
         assert spread in shuffles(plan_of(job))[-1]
 
 
+def under(lines, i):
+    """The operator that feeds line i, past projections."""
+    return next(line for line in lines[i + 1:] if "Project" not in line)
+
+
+def final_plan(job):
+    """The plan that ran; what was reused stands there once."""
+    job.collect()
+    return plan_of(job).partition("== Initial Plan ==")[0]
+
+
 def test_every_shuffle_of_events_is_pre_aggregated(feed, messages):
     for job in (feed_daily(feed, AS_OF), daily_cube(feed, messages, AS_OF),
                 audience.user_overlap(feed, messages, DAY),
-                audience.feed_only_users(feed, messages, DAY)):
+                audience.feed_only_users(feed, messages, DAY),
+                day_numbers(feed, messages, DAY)):
         lines = plan_of(job).splitlines()
-        for above, below in zip(lines, lines[1:]):
-            if "Exchange hashpartitioning" in above:
-                assert "HashAggregate" in below or "SortMergeJoin" in below or "Project" in below
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line:
+                assert "HashAggregate" in under(lines, i) or "SortMergeJoin" in under(lines, i)
+
+
+def test_report_text_reads_each_table_once(feed, messages):
+    assert final_plan(day_numbers(feed, messages, DAY)).count("FileScan") == 2
 
 
 def test_no_products_of_rows(feed, messages, users):
@@ -73,6 +91,11 @@ def test_replicates_are_summed_before_the_shuffle(users):
 
 def test_experiment_reads_its_events_once(users):
     for job in (ctr_experiment(users), linearized_experiment(users)):
-        job.collect()
-        final = plan_of(job)
-        assert "ReusedExchange" in final
+        assert final_plan(job).count("FileScan") == 1
+
+
+def test_only_ranges_with_a_quantile_are_sorted(users):
+    found = plan_of(exact_quantiles(users, "ctr", (0.25, 0.75)))
+    lines = found.partition("== Initial Plan ==")[0].splitlines()
+    window = next(i for i, line in enumerate(lines) if "Window" in line and "value_range" in line)
+    assert any("BroadcastHashJoin" in line for line in lines[window:])

@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.pvalues import EXACT_LIMIT, rank_sum_p
 from tidemark.functions.scalars import ratio
-from tidemark.operators.ordering import N_RANGES, RANGE, before, with_value_range
+from tidemark.operators.ordering import RANGE, before, ranges_for, with_value_range
 
 
-def mann_whitney_test(df, value, pair, group="exp_group", n_ranges=N_RANGES):
+def mann_whitney_test(df, value, pair, group="exp_group", n_ranges=None):
     """One row: sizes, U of the first group, U of the second, z, method and p.
 
     U counts the pairs in which the first group is larger, ties as half. Per
@@ -23,7 +23,7 @@ def mann_whitney_test(df, value, pair, group="exp_group", n_ranges=N_RANGES):
               .agg(F.count_if(F.col(group) == first).alias("n_a"),
                    F.count_if(F.col(group) == second).alias("n_b")))
     both = F.col("n_a") + F.col("n_b")
-    ranged = with_value_range(counts, value, both > 0, n_ranges)
+    ranged = with_value_range(counts, value, both > 0, ranges_for(df, n_ranges))
 
     # Missing values form one row; set it aside.
     missing = F.col(value).isNull()

@@ -10,13 +10,20 @@ they are picked by hash, so that every evaluation picks the same.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+# Ranges, at least; as many as shuffle partitions if those are more.
 N_RANGES = 256
 # Distinct values the cut points are chosen from, per range.
 CANDIDATES = 16
 RANGE = "value_range"
 
 
-def with_value_range(counts, value, seen, n_ranges=N_RANGES):
+def ranges_for(df, n_ranges=None):
+    """The given number of ranges, or one that keeps every task of a shuffle busy."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return n_ranges or max(N_RANGES, tasks)
+
+
+def with_value_range(counts, value, seen, n_ranges):
     """Adds the ordinal of the range that holds each value of `counts`.
 
     `seen` is a condition true on every row that uses all of its counts: it
@@ -51,21 +58,34 @@ def before(column, *partition, order):
     return F.coalesce(F.sum(column).over(frame), F.lit(0))
 
 
-def exact_quantiles(df, value, probabilities, by=(), n_ranges=N_RANGES):
+def exact_quantiles(df, value, probabilities, by=(), n_ranges=None):
     """Linearly interpolated quantiles per `by` group, as columns `q_0`, `q_1`, ...
 
-    `by` must have few distinct values (experiment groups): the table of ranges,
-    |groups| x `n_ranges` rows, is sent to every task.
+    `by` must have few distinct values (experiment groups): the table of ranges that hold
+    a quantile, at most two per group and probability, is sent to every task. Only
+    these ranges are sorted.
     """
-    by = list(by)
+    by, n_ranges = list(by), ranges_for(df, n_ranges)
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
     ranged = with_value_range(counts, value, F.col("n") > 0, n_ranges)
     offsets = (ranged.groupBy(*by, RANGE).agg(F.sum("n").alias("in_range"))
-               .select(*by, RANGE,
+               .select(*by, RANGE, "in_range",
                        before("in_range", *by, order=RANGE).alias("range_start"),
                        F.sum("in_range").over(Window.partitionBy(*by)).alias("total")))
 
-    placed = (ranged.join(F.broadcast(offsets), [*by, RANGE])
+    def ranks(p):
+        """(position, the rank below it, the rank above it) of a probability."""
+        position = F.lit(float(p)) * (F.col("total") - 1)
+        lower = F.floor(position)
+        return position, lower, F.least(lower + 1, F.col("total") - 1)
+
+    wanted = F.lit(False)
+    for p in probabilities:
+        _, lower, upper = ranks(p)
+        wanted |= ((F.col("range_start") <= upper)
+                   & (lower < F.col("range_start") + F.col("in_range")))
+    holding = offsets.where(wanted).drop("in_range")
+    placed = (ranged.join(F.broadcast(holding), [*by, RANGE])
               .withColumn("start", F.col("range_start")
                           + before("n", *by, RANGE, order=value)))
 
@@ -75,9 +95,7 @@ def exact_quantiles(df, value, probabilities, by=(), n_ranges=N_RANGES):
 
     picked = []
     for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        lower = F.floor(position)
-        upper = F.least(lower + 1, F.col("total") - 1)
+        position, lower, upper = ranks(p)
         picked += [at(lower).alias(f"lower_{i}"), at(upper).alias(f"upper_{i}"),
                    F.max(position - lower).alias(f"part_{i}")]
     found = placed.groupBy(*by).agg(*picked)
