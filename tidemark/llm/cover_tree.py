@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import bounded_sample
+from tidemark.llm.shared import bounded_batches, bounded_sample
 from tidemark.llm.vectors import comparable, matrix, packed, unit, unpacked
 from tidemark.sources.shared_folder import stored
 
@@ -308,6 +308,7 @@ def similar_vectors(table, threshold=THRESHOLD, vector="embedding"):
     dimensions have none with each other; rows without id have no row; repeated ids
     have one row, for their smallest vector. An empty table gives no rows.
     """
+    bounded_batches(table.sparkSession)
     ids = table.where(F.col("vec_id").isNotNull()).select("vec_id").distinct()
     keys = [F.xxhash64(F.lit(seed), "v").alias(f"key{seed}") for seed in (1, 2)]
     vectors = stored(comparable(table, vector).select("vec_id", "v", "dim", *keys), "cover-vectors")

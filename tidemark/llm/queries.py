@@ -49,7 +49,7 @@ def op4_vp_tree_neighbours(spark, sf_dir):
 def op5_bradley_terry_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     ranking = bradley_terry.learn(docs, table(spark, sf_dir, "labels"), folds=4, held_out=2)
-    return scored(bradley_terry.score(docs.select("doc_id", "text"), ranking), 4, 2, CUT)
+    return scored(bradley_terry.score(docs, ranking, keep=["doc_id"]), 4, 2, CUT)
 
 
 def op6_heap_token_counts(spark, sf_dir):
@@ -61,7 +61,7 @@ def op6_heap_token_counts(spark, sf_dir):
 def op7_lexicon_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
-    return scored(toxicity.score(docs.select("doc_id", "text"), lexicon), 3, 1, CUT)
+    return scored(toxicity.score(docs, lexicon, keep=["doc_id"]), 3, 1, CUT)
 
 
 #: Weights of the languages in the mixture.

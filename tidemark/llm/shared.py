@@ -10,10 +10,22 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_BYTES = 4_000_000
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark):
+    """Lower the session's bound on the bytes of an Arrow batch to twice a slice.
+
+    Batches are held several times over, by the executor and its worker; counted in
+    rows, as many long texts would not fit.
+    """
+    if int(spark.conf.get(BATCH_BYTES).rstrip("b")) > 2 * SLICE_BYTES:
+        spark.conf.set(BATCH_BYTES, str(2 * SLICE_BYTES))
 
 
 def texts_of(docs):
     """(doc_id, text) only, a null text as the empty one."""
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import bounded_sample, fold, slices, texts_of
+from tidemark.llm.shared import bounded_batches, bounded_sample, fold, slices, texts_of
 from tidemark.sources.shared_folder import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -241,16 +241,16 @@ def learn(docs, labels, label="toxic", folds=3, held_out=1, most=MOST_LABELLED):
     return lexicon
 
 
-def score(docs, lexicon, out="score"):
-    """All columns of `docs` and `out` in [0, 1] from the whole text (null: empty).
+def score(docs, lexicon, out="score", keep=None):
+    """The columns `keep` of `docs` (all by default) and `out` in [0, 1] from the whole text.
 
-    One row per row of `docs`, without a shuffle. Only the text is read for the score;
-    nulls in other columns do not matter. A column that is already called `out`
-    is replaced. Columns keep their order.
+    One row per row of `docs`, without a shuffle. Only the text is read for the score, a null
+    one as empty; nulls in other columns do not matter. A column that is already
+    called `out` is replaced.
     """
-    inner = docs.select(*[c for c in docs.columns if c not in ("text", out)], "text")
-    schema = inner.schema.fields
-    names = [f.name for f in schema]
+    keep = [c for c in (docs.columns if keep is None else keep) if c != out]
+    inner = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
+    bounded_batches(docs.sparkSession)
 
     def rows(batches):
         automaton = lexicon.automaton()
@@ -259,8 +259,8 @@ def score(docs, lexicon, out="score"):
                 m = [measures(t or "", automaton) for t in part.column("text").to_pylist()]
                 scores = sigmoid(curve_inputs(m) @ np.array(lexicon.curve))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(scores)], [*names, out])
+                    [*[part.column(c) for c in keep], pa.array(scores, pa.float64())],
+                    [*keep, out])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return inner.mapInArrow(rows, f"{kinds}, `{out}` double").select(
-        *[c for c in docs.columns if c != out], out)
+    kinds = [f"`{c}` {inner.schema[c].dataType.simpleString()}" for c in [*keep]]
+    return inner.mapInArrow(rows, ", ".join([*kinds, f"`{out}` double"]))

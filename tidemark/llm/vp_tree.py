@@ -19,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import bounded_batches
 from tidemark.llm.vectors import comparable, matrix, packed, unit, unpacked
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -164,6 +165,7 @@ def nearest(table, queries, k=5, factor=1.0, vector="embedding"):
     side; vectors of different dimensions do not meet; a table with fewer candidates
     gives them all, an empty one no rows; other columns are ignored.
     """
+    bounded_batches(table.sparkSession)
     vectors = comparable(table, vector)
     n = table.where(F.col("vec_id").isNotNull()).count()
     shards, asked = max(1, -(-n // SHARD)), table.where(queries).count()
