@@ -11,6 +11,20 @@ def test_imports_need_no_session():
     subprocess.run([sys.executable, "-c", "import __spark_entry__, bench"], cwd=ROOT, check=True)
 
 
+def test_the_rest_works_without_the_training_data_operators():
+    """As where that subpackage and its pipeline have been left out."""
+    code = ("import sys; sys.modules['tidemark.llm'] = None; sys.modules['corpus_pipeline'] = None\n"
+            "import __spark_entry__ as e; from checks.queries import QUERIES\n"
+            "assert set(e.queries()) == set(QUERIES) == set(e.oracle_sql())")
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_nothing_else_imports_them():
+    for path in [*ROOT.glob("tidemark/**/*.py"), *ROOT.glob("checks/*.py")]:
+        if path.parent.name != "llm":
+            assert "llm" not in path.read_text()
+
+
 def test_session_has_the_settings(spark):
     assert all(spark.conf.get(key) == value for key, value in SETTINGS.items())
 
