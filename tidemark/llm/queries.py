@@ -98,5 +98,42 @@ QUERIES = {f.__name__: f for f in (
     op7_lexicon_toxicity, op8_soft_mix, op9_cover_tree_pairs,
     op10_license_scan)}
 
-#: Only where SQL can express the operator.
-ORACLE = {}
+VECTORS = """
+v AS (
+  SELECT vec_id, min(CAST(embedding AS DOUBLE[])) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL GROUP BY vec_id),
+squares AS (
+  SELECT vec_id, e, CASE WHEN len(e) > 0 AND list_count(e) = len(e)
+                         THEN list_dot_product(e, e) END AS square FROM v),
+sound AS (
+  SELECT vec_id, e, sqrt(square) AS norm FROM squares WHERE isfinite(square) AND square > 0)"""
+
+#: Only where SQL can express the operator: by comparing all vectors with each other.
+ORACLE = {
+    "op4_vp_tree_neighbours": f"""
+WITH {VECTORS.strip()},
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / (q.norm * c.norm) AS score
+  FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+    AND len(c.e) = len(q.e)),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+                 AS INTEGER) AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op9_cover_tree_pairs": f"""
+WITH RECURSIVE {VECTORS.strip()},
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reached AS (
+  SELECT a AS vec_id, a AS other FROM links
+  UNION
+  SELECT reached.vec_id, links.b FROM reached JOIN links ON reached.other = links.a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+components AS (SELECT vec_id, min(other) AS component FROM reached GROUP BY vec_id)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id,
+       coalesce(component, vec_id) = vec_id AS kept
+FROM v LEFT JOIN counted USING (vec_id) LEFT JOIN components USING (vec_id)""",
+}

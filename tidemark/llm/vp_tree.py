@@ -152,9 +152,11 @@ def query_blocks(queries, blocks):
 
 
 def cosine(a, b):
-    """Row by row, always summed in the same order; scaled by powers of two, which is exact."""
+    """Row by row, summed from the first component to the last; scaled by powers of two,
+    which is exact."""
     a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) for x in (a, b))
-    return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+    dots = [np.cumsum(x * y, axis=1)[:, -1] for x, y in ((a, b), (a, a), (b, b))]
+    return dots[0] / (np.sqrt(dots[1]) * np.sqrt(dots[2]))
 
 
 def nearest(table, queries, k=5, factor=1.0, vector="embedding"):
