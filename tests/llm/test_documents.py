@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bradley_terry, licenses, order_minhash, soft_mix, toxicity)
-from tidemark.llm.shared import bounded_sample, fold
+from tidemark.llm.shared import BATCH_BYTES, bounded_batches, bounded_sample, fold
 
 WORDS = [a + b + c for a in ("ba", "ke", "li", "mo", "nu", "ra") for b in ("l", "r", "st", "nd")
          for c in ("a", "en", "ix", "o", "um")]
@@ -140,6 +140,19 @@ def test_folds(spark):
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 4 for r in rows)
 
 
+@pytest.mark.parametrize("given,kept", [("64m", "8000000"), ("67108864b", "8000000"),
+                                        ("2m", "2m"), ("4000", "4000")])
+def test_batches_are_bounded(spark, given, kept):
+    before = spark.conf.get(BATCH_BYTES)
+    try:
+        spark.conf.set(BATCH_BYTES, given)
+        bounded_batches(spark)
+        found = spark.conf.get(BATCH_BYTES)
+        assert found.rstrip("b") == kept
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
 def test_samples_do_not_depend_on_the_layout(spark):
     ids = spark.range(1000)
     some = [sorted(r[0] for r in bounded_sample(ids.repartition(n), F.col("id"), 30).collect())

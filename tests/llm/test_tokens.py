@@ -90,6 +90,15 @@ def test_token_files_of_awkward_documents(spark, awkward, tokenizer, tmp_path):
         start += len(expected)
 
 
+@pytest.mark.parametrize("block", [50, 1_000_000])
+def test_documents_by_id(spark, awkward, tokenizer, tmp_path, monkeypatch, block):
+    monkeypatch.setattr("tidemark.llm.elias_fano.BLOCK_IDS", block)
+    rows = read_back(spark, tmp_path, awkward, tokenizer, parts=3)
+    for wanted in ([1], [4, 12, 99, -5], [5, 9], []):
+        found = elias_fano.read_documents(spark, str(tmp_path / "files"), wanted).collect()
+        assert sorted(found) == sorted(r for r in rows if r["doc_id"] in wanted)
+
+
 def test_no_documents(spark, make_docs, tokenizer, tmp_path):
     empty = make_docs()
     assert read_back(spark, tmp_path, empty, tokenizer) == []
@@ -104,6 +113,8 @@ def test_elias_fano(steps):
     coded = elias_fano.EliasFano.from_bytes(elias_fano.EliasFano.of(values).to_bytes())
     assert coded.all().tolist() == values.tolist()
     assert [coded.select(i) for i in range(len(values))] == values.tolist()
+    for value in [0, *values.tolist()[::20], int(values[-1]) + 1 if len(values) else 5]:
+        assert coded.find(value) == int(np.searchsorted(values, value))
 
 
 def test_elias_fano_is_small():

@@ -10,7 +10,8 @@ part k + 1. Each task encodes its documents in order and writes blocks of about
     width             bytes of an id, 2 or 4
     ids               the ids, little-endian
     bounds            Elias-Fano code of the documents' ends in the block
-    nulls, first_doc  documents without id (they come first), id of the first other one
+    nulls             documents without id; they come first
+    first_doc, last_doc  smallest and largest of the other ids
     doc_ids           Elias-Fano code of the other ids less the first
 
 Parquet because Spark's committer then makes each part appear once, whatever tasks were
@@ -35,7 +36,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_IDS = 1_000_000
 SAMPLE = 64
 BLOCKS = ("part int, block int, before bigint, n_docs bigint, n_ids bigint, width int, "
-          "ids binary, bounds binary, nulls bigint, first_doc bigint, doc_ids binary")
+          "ids binary, bounds binary, nulls bigint, first_doc bigint, last_doc bigint, "
+          "doc_ids binary")
 
 
 class EliasFano:
@@ -98,6 +100,17 @@ class EliasFano:
                 return high << self.low_bits | int(self._low(i, 1)[0])
             seen, byte, skip = seen + len(bits), byte + 32, 0
 
+    def find(self, value):
+        """The first i with number i >= `value`, by halving; n if there is none."""
+        low, high = 0, self.n
+        while low < high:
+            middle = (low + high) // 2
+            if self.select(middle) < value:
+                low = middle + 1
+            else:
+                high = middle
+        return low
+
     def all(self):
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
         high = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
@@ -111,12 +124,13 @@ def block_row(part, block, before, doc_ids, pieces, dtype):
     gaps = np.array([d - first for d in known], np.uint64)
     return (part, block, before, len(doc_ids), int(ends[-1]), dtype.itemsize,
             np.concatenate(pieces).astype(dtype).tobytes(), EliasFano.of(ends).to_bytes(),
-            len(doc_ids) - len(known), first, EliasFano.of(gaps).to_bytes())
+            len(doc_ids) - len(known), first, known[-1] if known else None,
+            EliasFano.of(gaps).to_bytes())
 
 
 def rows_to_batch(rows):
     kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
-             pa.binary(), pa.int64(), pa.int64(), pa.binary())
+             pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
     names = [field.split()[0] for field in BLOCKS.split(", ")]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -156,14 +170,22 @@ def write_token_files(docs, tokenizer, folder, end_id, keeps_space=True, parts=N
     ordered.mapInArrow(blocks, BLOCKS).write.mode("overwrite").parquet(folder)
 
 
-def read_token_files(spark, folder):
-    """One row per document of the files: `doc_id`, `start` (ids of all documents before it),
-    `n_tokens`, `ids` (little-endian unsigned 32-bit)."""
-    blocks = spark.read.schema(BLOCKS).parquet(folder)
+ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
+
+
+def with_bases(blocks):
+    """Blocks with `base`, the ids of all parts before theirs."""
     parts = blocks.groupBy("part").agg(F.max(F.col("before") + F.col("n_ids")).alias("n"))
     # One row per written partition, a number the writer chose.
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = parts.select("part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
+    return blocks.join(F.broadcast(bases), "part")
+
+
+def read_token_files(spark, folder):
+    """One row per document of the files: `doc_id`, `start` (ids of all documents before it),
+    `n_tokens`, `ids` (little-endian unsigned 32-bit)."""
+    blocks = with_bases(spark.read.schema(BLOCKS).parquet(folder))
 
     def documents(batches):
         for batch in batches:
@@ -180,8 +202,43 @@ def read_token_files(spark, folder):
                     pa.array([raw[4 * a:4 * b] for a, b in zip(starts.tolist(), ends.tolist())],
                              pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
-    return blocks.join(F.broadcast(bases), "part").mapInArrow(
-        documents, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return blocks.mapInArrow(documents, ROWS)
+
+
+def read_documents(spark, folder, doc_ids):
+    """The documents with these ids (a short list), as `read_token_files` gives them.
+
+    Only blocks that may hold one of them are read beyond their bounds; in a block
+    a few selects find the document and its offsets, and nothing else is decoded.
+    """
+    wanted = sorted(set(doc_ids))
+    blocks = with_bases(spark.read.schema(BLOCKS).parquet(folder))
+    held = F.exists(F.array(*map(F.lit, wanted)).cast("array<bigint>"),
+                    lambda x: x.between(F.col("first_doc"), F.col("last_doc")))
+
+    def found(row):
+        known, ends = (EliasFano.from_bytes(row[c]) for c in ("doc_ids", "bounds"))
+        ids = np.frombuffer(row["ids"], f"<u{row['width']}")
+        for doc_id in wanted:
+            i = known.find(doc_id - row["first_doc"]) if doc_id >= row["first_doc"] else known.n
+            while i < known.n and known.select(i) == doc_id - row["first_doc"]:
+                at = row["nulls"] + i
+                start, end = ends.select(at - 1) if at else 0, ends.select(at)
+                yield (doc_id, row["base"] + row["before"] + start, end - start,
+                       ids[start:end].astype("<u4").tobytes())
+                i += 1
+
+    def documents(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                rows = list(found(row))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(
+                            zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                        ["doc_id", "start", "n_tokens", "ids"])
+
+    return blocks.where(held).mapInArrow(documents, ROWS)
 
 
 def digest(documents):

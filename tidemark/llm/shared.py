@@ -1,5 +1,6 @@
 """What several operators need: text columns, Arrow batches, training folds."""
 
+import re
 import sys
 
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_BYTES = 4_000_000
+UNITS = ["", "k", "m", "g", "t", "p"]
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -19,7 +21,8 @@ def bounded_batches(spark):
     Batches are held several times over, by the executor and its worker; counted in
     rows, as many long texts would not fit.
     """
-    if int(spark.conf.get(BATCH_BYTES).rstrip("b")) > 2 * SLICE_BYTES:
+    number, unit = re.match(r"(\d+)([kmgtp]?)", spark.conf.get(BATCH_BYTES).lower()).groups()
+    if int(number) * 1024 ** UNITS.index(unit) > 2 * SLICE_BYTES:
         spark.conf.set(BATCH_BYTES, str(2 * SLICE_BYTES))
 
 

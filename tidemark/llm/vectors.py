@@ -38,7 +38,8 @@ def unit(rows):
 
 def packed(rows):
     """A matrix as bytes: single precision where that loses nothing."""
-    single = rows.astype("<f4")
+    with np.errstate(over="ignore"):
+        single = rows.astype("<f4")
     exact = np.array_equal(single.astype("<f8"), rows)
     return (b"s" + single.tobytes()) if exact else (b"d" + rows.astype("<f8").tobytes())
 
