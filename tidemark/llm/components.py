@@ -23,11 +23,14 @@ def smallest_neighbour(edges, own):
     return edges.groupBy("u").agg(least.alias("m"))
 
 
-def star_round(edges):
+def star_round(edges, label):
+    """Minima are written before they are joined: then Spark can split a node that a large
+    part of all edges meets in."""
     both = edges.select("u", "v").union(edges.selectExpr("v as u", "u as v"))
-    large = (both.join(smallest_neighbour(both, True), "u").where("v > u")
-             .selectExpr("v as u", "m as v").distinct())
-    joined = large.join(smallest_neighbour(large, False), "u")
+    least = stored(smallest_neighbour(both, True), label)
+    large = stored(both.join(least, "u").where("v > u").selectExpr("v as u", "m as v").distinct(),
+                   label)
+    joined = large.join(stored(smallest_neighbour(large, False), label), "u")
     return (joined.selectExpr("u", "m as v")
             .union(joined.where("v != m").selectExpr("v as u", "m as v")).distinct())
 
@@ -43,7 +46,7 @@ def components(edges, label="components"):
                    .distinct(), label)
     before = fingerprint(edges)
     while before[0]:
-        edges = stored(star_round(edges), label)
+        edges = stored(star_round(edges, label), label)
         now = fingerprint(edges)
         if now == before:
             break
