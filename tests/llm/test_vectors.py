@@ -145,7 +145,7 @@ def test_huge_and_tiny_components():
     assert (unpacked(packed(rows), 2) == rows).all()
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=40))
 def test_components(spark, edges):
     root = {n: n for e in edges for n in e if e[0] != e[1]}
