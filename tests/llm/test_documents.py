@@ -388,3 +388,18 @@ def test_every_notice_of_the_documents_is_found(spark, documents, texts):
     for r in licenses.scan(files).collect():
         expected = {notice[line] for line in texts[r["doc_id"]].split("\n") if line in notice}
         assert ({r["license"]} if r["license"] else set()) == expected
+
+
+@pytest.mark.parametrize("n", [100, 3000])
+def test_ordinary_words_of_a_notice_weigh_what_they_weigh_in_the_corpus(spark, n):
+    """Words in four fifths of all files change a notice's score little, at any number of files."""
+    notice = "This article is licensed under the MIT License."
+    rows = [(i, f"d/{i}", f"this article is about thing{i}" if i % 5 else f"stone{i}")
+            for i in range(2, n)] + [(0, "d/a", notice), (1, "d/b", notice + " Thing2 stone5.")]
+    found = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, FILES)).collect()}
+    assert (found[0]["license"], found[1]["license"]) == ("MIT", "MIT")
+    assert {r["license"] for i, r in found.items() if i > 1} == {None}
+    df = {t: 2 for t in licenses.terms("licensed under the mit license")}
+    df |= {t: sum(i % 5 > 0 for i in range(2, n)) + 2 for t in ("this", "article", "is")}
+    score, _ = licenses.Templates(licenses.TEMPLATES, df, n).nearest(notice)
+    assert found[0]["score"] == pytest.approx(score)
