@@ -125,6 +125,41 @@ def test_a_stranger_at_the_head_of_a_bucket_splits_no_class(make_docs):
     assert found == brute_classes(rows) == {0: 0} | {i: 1 for i in range(1, 25)}
 
 
+def changed(source, words, share, at=None):
+    """`words` with a share of them, at scattered places, replaced by new ones."""
+    words = list(words)
+    for i in at or source.sample(range(len(words)), int(share * len(words) + 1e-9)):
+        words[i] = f"new{source.randrange(10 ** 9)}"
+    return words
+
+
+@pytest.mark.parametrize("n_words, share", [
+    (30, 0.1), (30, 0.2), (100, 0.1), (100, 0.15), (100, 0.2), (300, 0.2)])
+def test_scattered_changes_within_the_limit_are_found(make_docs, n_words, share):
+    source = random.Random(n_words)
+    rows = []
+    for i in range(100):
+        base = [f"w{source.randrange(4000)}" for _ in range(n_words)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(changed(source, base, share)))]
+    found = classes(order_minhash.near_duplicates(make_docs(*rows)).collect())
+    assert all(found[i] in (i, i - 1) for i in found)
+    linked = sum(found[2 * i + 1] == 2 * i for i in range(100))
+    assert linked >= 95
+
+
+def test_all_pairs_of_tiny_texts_are_found(make_docs):
+    source, rows = random.Random(4), []
+    for n in range(4, 15):
+        base = [f"w{n}x{i}" for i in range(n)]
+        most = (n + 1) // 5  # the longer one of a pair may have a word more
+        more = base[:n // 2] + ["more"] + base[n // 2:]
+        texts = [base, changed(source, base, 0, [n // 2])] + [more] * (most > 0)
+        if n >= 10:
+            texts.append(changed(source, base, 0, [n // 3, 2 * n // 3]))
+        rows += [(len(rows) + i, " ".join(words)) for i, words in enumerate(texts)]
+    assert classes(order_minhash.near_duplicates(make_docs(*rows)).collect()) == brute_classes(rows)
+
+
 def test_awkward_documents_have_classes(awkward, make_docs):
     found = classes(order_minhash.near_duplicates(awkward).collect())
     assert found == {i: {2: 1, 3: 1, 12: 1}.get(i, i) for i in range(1, 13)}
