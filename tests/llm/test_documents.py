@@ -160,6 +160,19 @@ def test_all_pairs_of_tiny_texts_are_found(make_docs):
     assert classes(order_minhash.near_duplicates(make_docs(*rows)).collect()) == brute_classes(rows)
 
 
+def test_pairs_among_strangers_who_share_a_passage_are_linked(make_docs):
+    source = random.Random(6)
+    passage = [f"p{source.randrange(4000)}" for _ in range(112)]
+    rows = []
+    for i in range(60):
+        base = passage + [f"w{source.randrange(4000)}" for _ in range(38)]
+        rows += [(j, " ".join(changed(source, base, share)))
+                 for j, share in ((i, 0), (60 + i, 0.15))]
+    found = classes(order_minhash.near_duplicates(make_docs(*rows)).collect())
+    assert found == brute_classes(rows)
+    assert all(found[60 + i] == found[i] for i in range(60))
+
+
 def test_awkward_documents_have_classes(awkward, make_docs):
     found = classes(order_minhash.near_duplicates(awkward).collect())
     assert found == {i: {2: 1, 3: 1, 12: 1}.get(i, i) for i in range(1, 13)}
