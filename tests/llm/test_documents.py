@@ -451,3 +451,31 @@ def test_ordinary_words_of_a_notice_weigh_what_they_weigh_in_the_corpus(spark, n
     df |= {t: sum(i % 5 > 0 for i in range(2, n)) + 2 for t in ("this", "article", "is")}
     score, _ = licenses.Templates(licenses.TEMPLATES, df, n).nearest(notice)
     assert found[0]["score"] == pytest.approx(score)
+
+
+def test_wrapped_texts_and_headers_have_their_licence(spark):
+    import textwrap
+
+    def wrapped(licence, number, prefix="", width=60):
+        return textwrap.fill(licenses.TEMPLATES[licence][number], width, initial_indent=prefix,
+                             subsequent_indent=prefix)
+    body = wrapped("MIT", -1).replace("MIT License ", "MIT License\n\nCopyright (c) 2020 Some One\n\n")
+    gpl = licenses.TEMPLATES["GPL-3.0"][2]
+    headers = {
+        "GPL-2.0": gpl.replace("software:", "software;").replace("version 3", "version 2"),
+        "GPL-3.0": gpl, "LGPL-3.0": gpl.replace("GNU General", "GNU Lesser General"),
+        "AGPL-3.0": gpl.replace("GNU General", "GNU Affero General")}
+    rows = [(0, "m/LICENSE", body), (1, "m/x.py", "import this"),
+            (2, "t/short.py", "# This file is released under the\n# MIT License.\nimport this")]
+    for i, (name, header) in enumerate(headers.items()):
+        block = textwrap.fill(header, 50, initial_indent=" * ", subsequent_indent=" * ")
+        rows.append((10 + i, f"h/{name}.c",
+                     f"/* A tool of many parts.\n{block}\n * It is slow. */\nint main;"))
+    rows += [(100 + i, f"z/{i}", f"this file is a tool of many parts {i} in the end")
+             for i in range(200)]
+    found = scanned(spark, rows)
+    assert found[0, "m/LICENSE"] == ("MIT", "own") and found[1, "m/x.py"] == ("MIT", "inherited")
+    assert found[2, "t/short.py"] == ("MIT", "own")
+    for i, name in enumerate(headers):
+        assert found[10 + i, f"h/{name}.c"] == (name, "own")
+    assert all(found[r[0], r[1]] == (None, None) for r in rows if r[0] >= 100)
