@@ -3,8 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bpe_count, bradley_terry, cover_tree, elias_fano, licenses,
-                          order_minhash, packing, soft_mix, toxicity, vp_tree)
+from tidemark.llm import (bpe_count, bradley_terry, collocations, cover_tree, elias_fano,
+                          licenses, order_minhash, packing, periodic_runs, soft_mix, toxicity,
+                          vp_tree)
 from tidemark.llm.shared import fold
 from tidemark.sources.shared_folder import new_path
 
@@ -92,11 +93,21 @@ def op10_license_scan(spark, sf_dir):
     return licenses.scan(files)
 
 
+def op12_baier_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"),
+                                    change=periodic_runs.cycled_by_id)
+    return periodic_runs.digest(found)
+
+
+def op13_rollup_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nnls_packing, op2_elias_fano_files, op3_order_minhash_near_dedup,
     op4_vp_tree_neighbours, op5_bradley_terry_quality, op6_heap_token_counts,
     op7_lexicon_toxicity, op8_soft_mix, op9_cover_tree_pairs,
-    op10_license_scan)}
+    op10_license_scan, op12_baier_runs, op13_rollup_collocations)}
 
 VECTORS = """
 v AS (
@@ -108,7 +119,7 @@ squares AS (
 sound AS (
   SELECT vec_id, e, sqrt(square) AS norm FROM squares WHERE isfinite(square) AND square > 0)"""
 
-#: Only where SQL can express the operator: by comparing all vectors with each other.
+#: Only where SQL can express the operator: by comparing all vectors, counting all phrases.
 ORACLE = {
     "op4_vp_tree_neighbours": f"""
 WITH {VECTORS.strip()},
@@ -136,4 +147,48 @@ components AS (SELECT vec_id, min(other) AS component FROM reached GROUP BY vec_
 SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id,
        coalesce(component, vec_id) = vec_id AS kept
 FROM v LEFT JOIN counted USING (vec_id) LEFT JOIN components USING (vec_id)""",
+    "op13_rollup_collocations": r"""
+WITH pieces AS (
+  SELECT lang, list_filter(string_split(replace(piece, chr(9), ' '), ' '), lambda w: w <> '') AS ws
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split(regexp_replace(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]', '.', 'g'), '.')) AS piece
+    FROM documents)),
+grams AS (
+  SELECT lang, unnest([1, 2, 3]) AS words, a, b, c
+  FROM (SELECT lang, unnest(ws) AS a, unnest(ws[2:] || [NULL]) AS b,
+               unnest(ws[3:] || [NULL, NULL]) AS c FROM pieces WHERE len(ws) > 0)
+  WHERE a IS NOT NULL),
+phrases AS (
+  SELECT lang, words, phrase, count(*) AS f
+  FROM (SELECT lang, words, a || CASE WHEN words >= 2 THEN ' ' || b ELSE '' END
+                 || CASE WHEN words = 3 THEN ' ' || c ELSE '' END AS phrase FROM grams)
+  WHERE phrase IS NOT NULL GROUP BY lang, words, phrase),
+sums AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM phrases WHERE words = 1 GROUP BY lang),
+parts AS (SELECT lang || chr(10) || phrase AS part, f FROM phrases WHERE words <= 2 AND f >= 10),
+candidates AS (
+  SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS ws
+  FROM phrases WHERE words >= 2 AND f >= 10),
+cut AS (
+  SELECT *, lang || chr(10) || array_to_string(ws[1:k], ' ') AS head,
+         lang || chr(10) || array_to_string(ws[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM candidates)),
+cuts AS (
+  SELECT lang, words, phrase, a, k, x.f AS l, y.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cut JOIN parts x ON x.part = head JOIN parts y ON y.part = rest),
+scored AS (
+  SELECT * FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT lang, inner_phrase AS phrase, max(a) AS longer
+  FROM (SELECT lang, a, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS inner_phrase
+        FROM candidates WHERE words = 3) GROUP BY ALL),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN held h ON h.lang = s.lang AND h.phrase = s.phrase
+  WHERE h.longer IS NULL OR 100 * h.longer < 50 * s.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sums USING (lang)
+WHERE rank <= 2000""",
 }
