@@ -148,7 +148,7 @@ def vocabulary(docs, seed):
         for lang, distinct, numbers in by_language(batches):
             counts = np.bincount(numbers, minlength=len(distinct))[1:]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(counts)), pa.array(distinct[1:], pa.binary()).cast(pa.string()),
+                [pa.array([lang] * len(counts), pa.string()), pa.array(distinct[1:], pa.binary()).cast(pa.string()),
                  pa.array(codes_of(lang, distinct, seed)[1:]), pa.array(counts)],
                 ["lang", "word", "code", "n"])
 
