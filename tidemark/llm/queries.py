@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bpe_count, bradley_terry, collocations, cover_tree, elias_fano,
-                          licenses, order_minhash, packing, periodic_runs, soft_mix, toxicity,
-                          vp_tree)
+                          licenses, order_minhash, packing, periodic_runs, skip_chain_pii,
+                          soft_mix, toxicity, vp_tree)
 from tidemark.llm.shared import fold
 from tidemark.sources.shared_folder import new_path
 
@@ -93,6 +93,11 @@ def op10_license_scan(spark, sf_dir):
     return licenses.scan(files)
 
 
+def op11_skip_chain_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return skip_chain_pii.digest(skip_chain_pii.find(docs, skip_chain_pii.learn(docs)))
+
+
 def op12_baier_runs(spark, sf_dir):
     found = periodic_runs.find_runs(table(spark, sf_dir, "documents"),
                                     change=periodic_runs.cycled_by_id)
@@ -107,7 +112,7 @@ QUERIES = {f.__name__: f for f in (
     op1_nnls_packing, op2_elias_fano_files, op3_order_minhash_near_dedup,
     op4_vp_tree_neighbours, op5_bradley_terry_quality, op6_heap_token_counts,
     op7_lexicon_toxicity, op8_soft_mix, op9_cover_tree_pairs,
-    op10_license_scan, op12_baier_runs, op13_rollup_collocations)}
+    op10_license_scan, op11_skip_chain_pii, op12_baier_runs, op13_rollup_collocations)}
 
 VECTORS = """
 v AS (
