@@ -220,7 +220,7 @@ def log_sum(x, axis):
 def fit(masks, left, right, beside, labels, counts):
     """Weights of maximal pseudo-likelihood under a Gaussian prior: features, chain, skip."""
     weights = {"features": np.zeros((N_FEATURES, LABELS)), "chain": np.zeros((LABELS, LABELS)),
-               "skip": np.full(LABELS, SKIP)}
+               "skip": np.where(np.arange(LABELS) == OUTSIDE, 0.0, SKIP)}
     if not len(labels):
         return weights
     prior = {name: w.copy() for name, w in weights.items()}
@@ -237,6 +237,7 @@ def fit(masks, left, right, beside, labels, counts):
         gap = (np.exp(score - log_sum(score, 1)[:, None]) - truth) * share[:, None]
         slope = {"features": x.T @ gap, "chain": before.T @ gap + gap.T @ after,
                  "skip": (gap * beside).sum(0)}
+        slope["skip"][OUTSIDE] = 0.0  # only entities draw their likes
         for name, w in weights.items():
             g = slope[name] + PENALTY * (w - prior[name])
             first[name] = 0.9 * first[name] + 0.1 * g
