@@ -541,6 +541,12 @@ closed AS (
     SELECT max(time) - INTERVAL 15 MINUTES
     FROM (SELECT time FROM feed UNION ALL SELECT time FROM messages)))"""
 
+# One series per metric for the whole history: the recursions know series by metric and date.
+WHOLE = """
+whole AS (SELECT * REPLACE (DATE '2024-01-01' AS date) FROM metrics)"""
+WEEKLY_FEED = f"feed WHERE CAST(time AS DATE) BETWEEN {FIRST} AND {DAY}"
+WEEKLY_MESSAGES = f"messages WHERE CAST(time AS DATE) BETWEEN {FIRST} AND {DAY}"
+
 ORACLE = {
     "feed_daily": query(f"SELECT {DAILY_COLUMNS} FROM daily", DAILY),
     "feed_daily_by_day": query(f"SELECT {DAILY_COLUMNS} FROM daily", DAILY),
@@ -561,6 +567,28 @@ FROM daily ORDER BY Date DESC LIMIT 1""", DAILY),
     "daily_cube": cube(),
     "daily_cube_one_day": cube(f"CAST(time AS DATE) = {DAY}"),
     "daily_cube_stored": cube(),
+    "daily_cube_incremental": cube(),
+    "smooth_history": query(
+        f"SELECT * REPLACE (CAST(time AS DATE) AS date) FROM (SELECT {SMOOTH_COLUMNS} "
+        f"FROM ({SMOOTHED}))", interval_rows("true"), WHOLE, single("whole"), holt("whole")),
+    "weekly_users_sketched": query(
+        "SELECT os, country, count(DISTINCT user_id) AS exact_users, 'true' AS within "
+        f"FROM {WEEKLY_FEED} GROUP BY os, country"),
+    "weekly_users_bitmap": query(
+        f"SELECT os, source, country, count(DISTINCT user_id) AS users FROM {WEEKLY_FEED} "
+        "GROUP BY os, source, country"),
+    "rolling_users_bitmap": query("""
+SELECT date, os, count(DISTINCT user_id) AS users
+FROM (SELECT DISTINCT CAST(time AS DATE) AS date FROM feed) days
+  JOIN feed ON CAST(time AS DATE) BETWEEN date - 6 AND date
+GROUP BY date, os"""),
+    "weekly_overlap_sketched": query(
+        f"SELECT {FIRST} AS first_date, {DAY} AS last_date, "
+        "count(*) FILTER (WHERE m IS NULL) AS purely_feed_users, "
+        "count(*) FILTER (WHERE f IS NULL) AS purely_messenger_users, "
+        "count(*) FILTER (WHERE f = m) AS both_func_users, count(*) AS all_unique_users "
+        f"FROM (SELECT DISTINCT user_id AS f FROM {WEEKLY_FEED}) "
+        f"FULL JOIN (SELECT DISTINCT user_id AS m FROM {WEEKLY_MESSAGES}) ON f = m"),
     "feed_only_users": query(FEED_ONLY),
     "messenger_only_users": query(MESSENGER_ONLY),
     "both_users": query(BOTH),

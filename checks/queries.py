@@ -9,28 +9,32 @@ from functools import cached_property
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.parameters import (ALERT_AS_OF, AS_OF, DIGITS, END, FEW_BUCKETS, REPAIRED,
-                               REPLICATES, SEED, START)
+from checks.parameters import (ALERT_AS_OF, AS_OF, DIGITS, END, FEW_BUCKETS, HALF, LATE, MONTH,
+                               REPAIRED, REPLICATES, SEED, START)
 from tidemark.functions.clock import AsOf
-from tidemark.operators import activity, audience, segments
+from tidemark.functions.scalars import during_days
+from tidemark.operators import activity, audience, segments, user_sets
 from tidemark.operators.bands import add_band, latest_points
 from tidemark.operators.bootstrap import bootstrap_by_cell, bootstrap_by_user, cells
 from tidemark.operators.experiment import (bucketed, experiment_users, group_ctr, linearized,
                                            smoothed_ctr)
 from tidemark.operators.histogram import histogram
-from tidemark.operators.intervals import FEED_METRICS, MESSENGER_METRICS, interval_metrics
+from tidemark.operators.intervals import (FEED_METRICS, MESSENGER_METRICS, history_metrics,
+                                          interval_metrics)
 from tidemark.operators.mannwhitney import mann_whitney_test
 from tidemark.operators.welch import welch_test
 from tidemark.plans import alerts, feed_report
 from tidemark.plans.audience_report import SOURCES, SYSTEMS, audience_report
 from tidemark.plans.daily_cube import daily_cube, run_daily_cube
 from tidemark.plans.experiment import ctr_experiment, linearized_experiment
+from tidemark.plans.incremental_cube import cube_from_parts, refresh_cube_parts
 from tidemark.sources.derived_events import (feed_from_events, messages_from_events,
                                              read_events, stream_events)
 from tidemark.sources.event_tables import (feed_actions, message_actions, read_tsv,
                                            write_by_day, write_tsv)
 from tidemark.sources.fact_table import read_daily_activity
 from tidemark.sources.shared_folder import new_path
+from tidemark.sources.user_set_tables import read_days, store_days
 from tidemark.streaming.intervals import (interval_stream, read_alerts, repair_day,
                                           start_alerts, write_intervals)
 
@@ -124,6 +128,61 @@ def _stored_cube(t):
     return read_daily_activity(t.spark, table)
 
 
+def _incremental_cube(t):
+    """A run after the first half of the days, with one of them still short of its late events;
+    then a run after the rest has come and that day has been replaced."""
+    feed_path, messages_path, parts = (new_path(t.spark, f"incremental-{name}")
+                                       for name in ("feed", "messages", "parts"))
+    tables = ((t.feed, feed_path), (t.messages, messages_path))
+    day, early = F.to_date("time"), F.hour("time") < 12
+    for events, path in tables:
+        write_by_day(events.where((day < F.lit(HALF)) & ((day != F.lit(LATE)) | early)), path)
+    refresh_cube_parts(t.spark, feed_path, messages_path, parts)
+    for events, path in tables:
+        write_by_day(events.where(day >= F.lit(HALF)), path, "append")
+        write_by_day(events.where(day == F.lit(LATE)), path, "days")
+    refresh_cube_parts(t.spark, feed_path, messages_path, parts)
+    return cube_from_parts(t.spark, parts, CLOCK)
+
+
+def _stored_sets(t, sets, name):
+    path = new_path(t.spark, name)
+    store_days(sets, path)
+    return read_days(t.spark, path)
+
+
+def _history(t):
+    return alerts.smoothed_history(history_metrics(*t.both, MONTH, CLOCK.today))
+
+
+def _sketched_users(t):
+    """Users of the week per segment, from stored daily sketches, beside the exact count: is the
+    estimate within four standard errors?"""
+    week = user_sets.sketched_users(_stored_sets(t, user_sets.daily_sketches(t.feed), "sketches"),
+                                    *WEEK, by=("os", "country"))
+    exact = during_days(t.feed, *WEEK).groupBy("os", "country").agg(
+        F.count_distinct("user_id").alias("exact_users"))
+    bound = F.greatest(F.lit(1.0), 4 * user_sets.sketch_error() * F.col("exact_users"))
+    return week.join(exact, ["os", "country"]).select(
+        "os", "country", "exact_users",
+        (F.abs(F.col("users") - F.col("exact_users")) <= bound).alias("within"))
+
+
+def _sketched_overlap(t):
+    feed, messages = [_stored_sets(t, user_sets.daily_theta(events), "theta") for events in t.both]
+    return user_sets.sketched_overlap(feed, messages, *WEEK)
+
+
+def _bitmap_users(t):
+    bitmaps = _stored_sets(t, user_sets.daily_bitmaps(t.feed), "bitmaps")
+    return user_sets.bitmap_users(bitmaps, *WEEK, by=("os", "source", "country"))
+
+
+def _rolling_users(t):
+    bitmaps = _stored_sets(t, user_sets.daily_bitmaps(t.feed, ("os",)), "bitmaps")
+    return user_sets.rolling_users(bitmaps, 7, by=("os",))
+
+
 def _streamed_intervals(spark, sf_dir, exact=True):
     """All closed intervals of the event stream, written by a streaming query."""
     events = stream_events(spark, sf_dir)
@@ -189,6 +248,7 @@ _OVER_TABLES = {
     "daily_cube": lambda t: daily_cube(*t.both, CLOCK),
     "daily_cube_one_day": lambda t: daily_cube(*t.both, CLOCK, date_scope="day"),
     "daily_cube_stored": _stored_cube,
+    "daily_cube_incremental": _incremental_cube,
     # audience report
     "feed_only_users": lambda t: audience.feed_only_users(*t.both, DAY),
     "messenger_only_users": lambda t: audience.messenger_only_users(*t.both, DAY),
@@ -206,7 +266,12 @@ _OVER_TABLES = {
     "os_pivot": lambda t: segments.pivot_users(
         segments.source_os_users(t.feed, DAY), "os", SYSTEMS),
     "audience_summary": lambda t: audience_report(*t.both, CLOCK).summary,
+    "weekly_users_sketched": _sketched_users,
+    "weekly_users_bitmap": _bitmap_users,
+    "rolling_users_bitmap": _rolling_users,
+    "weekly_overlap_sketched": _sketched_overlap,
     # anomaly check
+    "smooth_history": _history,
     "interval_metrics": lambda t: t.metrics(),
     "interval_metrics_by_label": lambda t: t.metrics("interval"),
     "smooth_single": lambda t: _smoothed(t, "single"),

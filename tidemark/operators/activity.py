@@ -19,7 +19,7 @@ MEASURES = ("views", "likes", "messages_received", "messages_sent",
 
 def user_feed_stats(feed):
     """Likes and views per (user, os, gender, age)."""
-    return _as_dimensions(_feed_counts(feed))
+    return _as_dimensions(feed_counts_per_user(feed))
 
 
 def received_per_user(messages, exact=True):
@@ -59,10 +59,15 @@ def user_activity(feed, messages, exact=True):
     partitioning both aggregates already have, as long as the keys keep their
     source types until after it; only per-user rows move again.
     """
-    both = _feed_counts(feed).join(
-        _sent_counts(messages, exact), ["user_id", *DEMOGRAPHICS], "inner")
+    return activity_of(feed_counts_per_user(feed), _sent_counts(messages, exact),
+                       received_per_user(messages, exact))
+
+
+def activity_of(feed_counts, sent_counts, received):
+    """`user_activity` of counts per user that are there already."""
+    both = feed_counts.join(sent_counts, ["user_id", *DEMOGRAPHICS], "inner")
     return _as_dimensions(
-        both.join(received_per_user(messages, exact), "user_id", "left")
+        both.join(received, "user_id", "left")
         .select("user_id", *DEMOGRAPHICS, *[_or_zero(c) for c in MEASURES]))
 
 
@@ -84,8 +89,9 @@ def roll_up(activity, dimensions=DEMOGRAPHICS, measures=MEASURES):
             .where(F.col("dimension_value").isNotNull()))
 
 
-def _feed_counts(feed):
-    return feed.groupBy("user_id", *DEMOGRAPHICS).agg(
+def feed_counts_per_user(feed, *more):
+    """Likes and views per user, and per value of `more` columns."""
+    return feed.groupBy(*more, "user_id", *DEMOGRAPHICS).agg(
         count_action("like").alias("likes"), count_action("view").alias("views"))
 
 

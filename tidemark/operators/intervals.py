@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import AsOf, timestamp_literal
-from tidemark.functions.scalars import (count_action, distinct_users, interval_label,
-                                        interval_start, percent)
+from tidemark.functions.scalars import (count_action, distinct_users, during_days,
+                                        interval_label, interval_start, percent)
 
 FEED_METRICS = ("feed_users", "likes", "views", "ctr")
 MESSENGER_METRICS = ("messenger_users", "messages_sent")
@@ -26,8 +26,8 @@ def _per_interval(events, *aggregates):
             .withColumns({"date": F.to_date("time"), "interval": interval_label("time")}))
 
 
-def feed_intervals(feed, as_of, exact=True):
-    return (_per_interval(live_events(feed, as_of),
+def _feed_measures(feed, exact):
+    return (_per_interval(feed,
                           distinct_users("user_id", exact).alias("feed_users"),
                           count_action("like").alias("likes"),
                           count_action("view").alias("views"))
@@ -35,13 +35,21 @@ def feed_intervals(feed, as_of, exact=True):
             .select("date", "time", "interval", *FEED_METRICS))
 
 
-def message_intervals(messages, as_of, exact=True):
-    return (_per_interval(live_events(messages, as_of),
+def _message_measures(messages, exact):
+    return (_per_interval(messages,
                           distinct_users("user_id", exact).alias("messenger_users"),
                           F.count("user_id").alias("messages_sent"))
             .select("date", "time", "interval", *MESSENGER_METRICS))
 
 
+def feed_intervals(feed, as_of, exact=True):
+    return _feed_measures(live_events(feed, as_of), exact)
+
+
+def message_intervals(messages, as_of, exact=True):
+    return _message_measures(live_events(messages, as_of), exact)
+
+
 def interval_metrics(feed, messages, as_of, on="time", exact=True):
     """Intervals in which both products saw events.
 
@@ -56,6 +64,14 @@ def interval_metrics(feed, messages, as_of, on="time", exact=True):
                                                                      *MESSENGER_METRICS)
 
 
+def history_metrics(feed, messages, first, last, exact=True):
+    """As `interval_metrics`, for all intervals of the days `first`..`last`."""
+    left = _feed_measures(during_days(feed, first, last), exact)
+    right = _message_measures(during_days(messages, first, last), exact)
+    return left.join(right.drop("date", "interval"), "time").select(*left.columns,
+                                                                     *MESSENGER_METRICS)
+
+
 def as_series(metrics, names):
     """Long form (metric, date, time, interval, value): the metric is the series key."""
     values = metrics.select("date", "time", "interval",

@@ -9,6 +9,7 @@ from tidemark.operators.bands import add_band, latest_points
 from tidemark.operators.intervals import (FEED_METRICS, MESSENGER_METRICS, as_series,
                                           interval_metrics)
 from tidemark.operators.smoothing import holt, single, smooth_series
+from tidemark.operators.smoothing_scan import Smoother, smooth_scan
 
 # Fixed value: the alert text.
 ALERT = "%s = %s, Отклонение = %s %%"
@@ -43,6 +44,14 @@ def smoothed_metrics(metrics, names=MESSENGER_METRICS + FEED_METRICS, settings=D
     return smooth_series(as_series(metrics, names), recursions, key)
 
 
+def smoothed_history(metrics, names=MESSENGER_METRICS + FEED_METRICS, settings=DEFAULTS):
+    """As `smoothed_metrics(key=SERIES)`, for histories of any length: no task holds a series."""
+    level = Smoother(settings.alpha_single)
+    trend = Smoother(settings.alpha_holt, settings.beta_holt)
+    smoothers = {name: level if name in MESSENGER_METRICS else trend for name in names}
+    return smooth_scan(as_series(metrics, names), smoothers, SERIES)
+
+
 def banded_metrics(metrics, band="trailing", settings=DEFAULTS, key=DAY_SERIES):
     """All six metrics with band and flag, day by day; see `smoothed_metrics`."""
     return add_band(smoothed_metrics(metrics, settings=settings, key=key),

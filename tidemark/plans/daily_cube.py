@@ -20,8 +20,12 @@ def daily_cube(feed, messages, as_of, date_scope="all", exact=True):
         feed, messages = during_days(feed, day, day), during_days(messages, day, day)
     elif date_scope != "all":
         raise ValueError("date_scope must be 'all' or 'day'")
-    cube = roll_up(user_activity(feed, messages, exact))
-    return cube.withColumn("event_date", F.lit(day)).select(*DAILY_ACTIVITY.names)
+    return cube_of(user_activity(feed, messages, exact), day)
+
+
+def cube_of(activity, day):
+    """The measures of per-user activity, stamped with a day."""
+    return roll_up(activity).withColumn("event_date", F.lit(day)).select(*DAILY_ACTIVITY.names)
 
 
 def run_daily_cube(spark, feed, messages, as_of, table, location=None, date_scope="all",

@@ -91,12 +91,15 @@ def write_tsv(df, path):
      .csv(path))
 
 
-def write_by_day(events, path):
+def write_by_day(events, path, mode="overwrite"):
     """Lay an event table out by day, so that daily jobs open only their days.
 
     The rebalance hint lets AQE split a day that dwarfs the others and merge
-    small ones, instead of one task per day.
+    small ones, instead of one task per day. `mode="append"` adds to the days that are
+    there, `"days"` replaces the days of `events` and no other.
     """
-    (events.withColumn("event_date", F.to_date("time"))
-     .hint("rebalance", "event_date")
-     .write.mode("overwrite").partitionBy("event_date").parquet(path))
+    rows = events.withColumn("event_date", F.to_date("time")).hint("rebalance", "event_date")
+    writer = rows.write.mode("overwrite" if mode == "days" else mode)
+    if mode == "days":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("event_date").parquet(path)
