@@ -77,6 +77,24 @@ def test_a_set_bit_of_a_rare_word_changes_nothing(documents, monkeypatch):
     assert sorted(map(tuple, collocations.collocations(documents).collect())) == wanted
 
 
+def test_dealt_and_split_windows_count_alike(documents, monkeypatch):
+    wanted = sorted(map(tuple, collocations.collocations(documents).collect()))
+    monkeypatch.setattr(collocations, "HELD_ROWS", 1000)
+    monkeypatch.setattr(collocations, "COMMON", 10 ** 9)  # every prefix is dealt
+    assert sorted(map(tuple, collocations.collocations(documents).collect())) == wanted
+
+
+def test_equal_rows_merge():
+    drawn = np.random.default_rng(2)
+    columns = [drawn.integers(-3, 3, 500) for _ in range(3)]
+    counts = drawn.integers(1, 9, 500)
+    found, sums = collocations.merged(columns, counts)
+    wanted = Counter()
+    for row, n in zip(zip(*[c.tolist() for c in columns]), counts.tolist()):
+        wanted[row] += n
+    assert dict(zip(zip(*[c.tolist() for c in found]), sums.tolist())) == wanted
+
+
 def test_wide_vocabularies_count_alike():
     numbers = np.array([1, 2, 3, 0, 1, 2, 3, 0, 5, 0])
     def as_rows(found):

@@ -9,13 +9,17 @@ Windows hold 64-bit codes of words, hashes of language and word, which keeps the
 That no two words share a code is checked on the whole vocabulary, which Spark collects in
 its own table; if two did, another seed would be taken. So counts are exact.
 
-Tasks count the windows of some megabytes of text before Spark combines them further and shuffles;
-a phrase that a third of all texts hold costs a few rows per task. What occurs fewer than
-`least` times is neither a candidate nor a part of one. So windows are padded from the first word on
-that is rarer in its language, and all joins are among phrases that occur `least` times.
-Tasks know rare words by a bit set of `BITS` bits over the codes of the others, which is all
-that is collected and broadcast, at any size of the vocabulary; a rare word whose bit another
+Tasks merge equal windows before they are shuffled; a phrase that a third of all texts hold costs a
+few rows per task. What occurs fewer than `least` times is neither a candidate nor a part of
+one. So windows are padded from the first word on that is rarer in its language, prefixes that turn out
+rarer are padded before the ROLLUP, and all joins are among phrases that occur `least` times.
+Tasks know rare words by a bit set of `BITS` bits over the codes of the others; a rare word whose bit another
 one has set stays in its windows, which costs rows and changes no count.
+
+The windows of one prefix meet in one task, unless all its words are common: then their last words
+deal them to `DEALS` tasks. A word is common if it makes up one in `COMMON` of all words,
+so there are at most `COMMON` of these, and a prefix that is not dealt is no more frequent. This list
+and the bit set are all that is collected and broadcast, at any size of the input.
 """
 
 import string
@@ -48,6 +52,10 @@ PLAIN = bytes.maketrans(string.ascii_uppercase.encode() + STOPS,
 #: Stands where a window is shorter; no word has it as its code.
 PAD = 0
 SALTS = 64
+DEALS = 64
+COMMON = 200
+#: Rows of windows that a task holds to merge them.
+HELD_ROWS = 3_000_000
 BITS = 1 << 26
 BITS_OF_ROW = 1 << 15  # of a row that Spark's bitmap functions make
 WORDS = [f"w{i}" for i in range(LONGEST)]
@@ -128,18 +136,61 @@ def is_set(bits, codes):
     return (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def windows(docs, seed, frequent):
-    """`w0`, `w1`, ... (codes, padded) and `f`: windows counted within parts of a task's texts."""
-    def rows(batches):
+def common_codes(words):
+    """The codes of words that make up one in `COMMON` of all."""
+    total = words.agg(F.sum("n")).first()[0] or 0
+    rows = words.where(F.col("n") * COMMON >= total).select("code").collect()
+    return np.array([row[0] for row in rows], np.int64)
+
+
+def merged(columns, counts):
+    """Equal rows of codes as one, with the sum of their counts, and rows of one first word
+    together. Rows meet by a hash; one that meets a stranger first only stays apart."""
+    first, mixed = columns[0].view(np.uint64), np.zeros(len(counts), np.uint64)
+    for column in columns:
+        mixed = (mixed + column.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    order = np.argsort(first >> np.uint64(40) << np.uint64(40) | mixed >> np.uint64(24))
+    columns = [column[order] for column in columns]
+    differ = np.ones(len(order), bool)
+    differ[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    starts = np.flatnonzero(differ)
+    return [c[starts] for c in columns], np.add.reduceat(counts[order], starts)
+
+
+def windows(docs, seed, frequent, common):
+    """`w0`, `w1`, ... (codes, padded), `f` and `deal`: windows counted within parts of a task's
+    texts, and the part of their prefix that they are dealt to."""
+    def counted(batches):
         for lang, distinct, numbers in by_language(batches):
             codes = codes_of(lang, distinct, seed)
             numbers = np.where(is_set(frequent.value, codes), np.arange(len(codes)), 0)[numbers]
             found, counts = counted_windows(numbers, len(distinct))
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array(codes[c]) for c in found], pa.array(counts)], [*WORDS, "f"])
+            yield [codes[c] for c in found], counts
+
+    def batch(held):
+        columns, counts = merged([np.concatenate([found[i] for found, _ in held])
+                                  for i in range(LONGEST)], np.concatenate([c for _, c in held]))
+        dealt = np.all([np.isin(c, common) for c in columns[:-1]], axis=0)
+        deal = np.where(dealt, 1 + columns[-1] % DEALS, 0).astype(np.int8)
+        return pa.RecordBatch.from_arrays(
+            [*[pa.array(c) for c in columns], pa.array(counts), pa.array(deal)],
+            [*WORDS, "f", "deal"])
+
+    def rows(batches):
+        held, size = [], 0
+        for found, counts in counted(batches):
+            if len(counts):
+                held.append((found, counts))
+                size += len(counts)
+            if size >= HELD_ROWS:
+                yield batch(held)
+                held, size = [], 0
+        if held:
+            yield batch(held)
 
     return texts_by_language(docs).mapInArrow(
-        rows, ", ".join(f"{c} bigint" for c in [*WORDS, "f"]))
+        rows, ", ".join(f"{c} bigint" for c in [*WORDS, "f"]) + ", deal tinyint")
 
 
 def vocabulary(docs, seed):
@@ -169,11 +220,19 @@ def phrase_counts(docs, words, seed, least=LEAST):
     """(`w0`, `w1`, ..., `n_words`, `f`): the phrases of 1 to `LONGEST` words, by their codes, that
     occur `least` times."""
     frequent = docs.sparkSession.sparkContext.broadcast(bit_set(words, least))
-    counted = windows(docs, seed, frequent).groupBy(*WORDS).agg(F.sum("f").alias("f"))
-    # One condition on both: Spark would move one on the pad below the aggregate, and then count twice.
-    longest = counted.where(F.when(F.col("f") >= least, F.col(WORDS[-1]) != PAD))
     prefix = WORDS[:-1]
-    rolled = (counted.rollup(*prefix)
+    found = windows(docs, seed, frequent, common_codes(words))
+    # The tasks have merged their windows: no second time before the shuffle.
+    counted = found.repartition(*prefix, "deal").groupBy(*prefix, "deal", WORDS[-1]).agg(
+        F.sum("f").alias("f"))
+    # One condition on both: Spark would move one on the pad below the shuffle, and then read twice.
+    longest = counted.where(F.when(F.col("f") >= least, F.col(WORDS[-1]) != PAD))
+    # In the same partitions; a prefix that was dealt may be frequent in all of them together.
+    whole = counted.groupBy(*prefix, "deal").agg(F.sum("f").alias("f"))
+    kept = (F.col("f") >= least) | (F.col("deal") > 0)
+    pruned = whole.select(prefix[0], *[F.when(kept, F.col(w)).otherwise(PAD).alias(w)
+                                       for w in prefix[1:]], "f")
+    rolled = (pruned.rollup(*prefix)
               .agg(F.grouping_id(*prefix).alias("level"), F.sum("f").alias("f"))
               .where(F.col("f") >= least))
     # grouping_id is 0 for whole prefixes, 1 without the last word, 3 without the last two, ...
