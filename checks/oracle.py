@@ -560,6 +560,14 @@ SELECT Date, 'Date    ' || lpad(CAST(Date AS VARCHAR) || ' 00:00:00', 23, ' ') |
 FROM daily ORDER BY Date DESC LIMIT 1""", DAILY),
     "user_feed_stats": query("SELECT * FROM feed_stats", cube_parts()),
     "user_feed_stats_tsv": query("SELECT * FROM feed_stats", cube_parts()),
+    "tsv_escapes": """
+WITH odd AS (
+  SELECT event_type, min(props) AS props, min(ts) AS first,
+         chr(34) || chr(39) || chr(9) || chr(10) || chr(92) || 'N' || chr(92) || 't ' || chr(13) AS signs
+  FROM events GROUP BY event_type)
+SELECT event_type, md5(signs || props || reverse(signs)) AS odd,
+       CASE WHEN event_type <> 'view' THEN '' END AS empty, first
+FROM odd""",
     "messages_received": query("SELECT * FROM received", cube_parts()),
     "messages_sent": query("SELECT * FROM sent", cube_parts()),
     "user_message_stats": query("SELECT * FROM message_stats", cube_parts()),

@@ -30,10 +30,10 @@ from tidemark.plans.experiment import ctr_experiment, linearized_experiment
 from tidemark.plans.incremental_cube import cube_from_parts, refresh_cube_parts
 from tidemark.sources.derived_events import (feed_from_events, messages_from_events,
                                              read_events, stream_events)
-from tidemark.sources.event_tables import (feed_actions, message_actions, read_tsv,
-                                           write_by_day, write_tsv)
+from tidemark.sources.event_tables import feed_actions, message_actions, write_by_day
 from tidemark.sources.fact_table import read_daily_activity
 from tidemark.sources.shared_folder import new_path
+from tidemark.sources.tab_separated import read_tsv, write_tsv
 from tidemark.sources.user_set_tables import read_days, store_days
 from tidemark.streaming.intervals import (interval_stream, read_alerts, repair_day,
                                           start_alerts, write_intervals)
@@ -119,6 +119,20 @@ def _tsv_round_trip(t):
         [T.StructField(f.name, f.dataType) for f in stats.schema]))
 
 
+def _tsv_escapes(t):
+    """Properties of the events behind signs that the format escapes, written and read."""
+    signs = "\"'\t\n\\N\\t \r"
+    odd = t.events.groupBy("event_type").agg(
+        F.concat(F.lit(signs), F.min("props"), F.lit(signs[::-1])).alias("odd\tname"),
+        F.when(F.col("event_type") != "view", F.lit("")).alias("empty"),
+        F.min("ts").cast("timestamp").alias("first"))
+    path = new_path(t.spark, "odd-tsv")
+    write_tsv(odd, path)
+    read = read_tsv(t.spark, path, T.StructType(
+        [T.StructField(f.name, f.dataType) for f in odd.schema]))
+    return read.select("event_type", F.md5("odd\tname").alias("odd"), "empty", "first")
+
+
 def _stored_cube(t):
     """Loaded twice, as after a retry: the date must not count twice."""
     path = new_path(t.spark, "daily-activity")
@@ -241,6 +255,7 @@ _OVER_TABLES = {
     # daily cube
     "user_feed_stats": lambda t: activity.user_feed_stats(t.feed),
     "user_feed_stats_tsv": _tsv_round_trip,
+    "tsv_escapes": _tsv_escapes,
     "messages_received": lambda t: activity.received_per_user(t.messages),
     "messages_sent": lambda t: activity.sent_per_user(t.messages),
     "user_message_stats": lambda t: activity.user_message_stats(t.messages),

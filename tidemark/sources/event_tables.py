@@ -77,20 +77,6 @@ def read_jdbc(spark, url, query_or_table, **kwargs):
     return spark.read.format("jdbc").options(**jdbc_options(url, query_or_table, **kwargs)).load()
 
 
-def read_tsv(spark, path, schema):
-    """Tab-separated text with a header row and `\\N` for NULL; never inferred."""
-    return (spark.read.schema(schema)
-            .option("sep", "\t").option("header", True).option("nullValue", "\\N")
-            .option("enforceSchema", False).option("mode", "FAILFAST")
-            .csv(path))
-
-
-def write_tsv(df, path):
-    (df.write.mode("overwrite")
-     .option("sep", "\t").option("header", True).option("nullValue", "\\N")
-     .csv(path))
-
-
 def write_by_day(events, path, mode="overwrite"):
     """Lay an event table out by day, so that daily jobs open only their days.
 
