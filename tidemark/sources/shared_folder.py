@@ -2,6 +2,12 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+
+#: Folders of local sessions that name none; Spark refuses to set one in a running session.
+LOCAL = {}
+#: Folders of the `scratch` blocks that are open, the inner ones last.
+SCRATCH = []
 
 
 def shared_folder(spark):
@@ -16,14 +22,16 @@ def shared_folder(spark):
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in LOCAL:
+        LOCAL[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return LOCAL[application]
 
 
 def new_path(spark, label):
     """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = SCRATCH[-1] if SCRATCH else shared_folder(spark)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df, label):
@@ -35,3 +43,21 @@ def stored(df, label):
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark):
+    """Inside, new paths lie in a folder of their own, which is deleted at the end.
+
+    For a job whose result is written elsewhere before the block ends: what is only planned
+    there still reads the stored tables.
+    """
+    folder = new_path(spark, "scratch")
+    SCRATCH.append(folder)
+    try:
+        yield folder
+    finally:
+        SCRATCH.remove(folder)
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
