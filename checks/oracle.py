@@ -9,6 +9,7 @@ import re
 
 from checks.parameters import (ALERT_AS_OF, AS_OF, DIGITS, END, FEW_BUCKETS, REPAIRED,
                                REPLICATES, SEED, START)
+from checks.parameters import USER as USER_ID
 
 TODAY, DAY, FIRST = "DATE '2024-01-30'", "DATE '2024-01-29'", "DATE '2024-01-22'"
 
@@ -572,6 +573,10 @@ FROM odd""",
     "messages_sent": query("SELECT * FROM sent", cube_parts()),
     "user_message_stats": query("SELECT * FROM message_stats", cube_parts()),
     "user_activity": query("SELECT * FROM activity", cube_parts()),
+    "user_activity_bucketed": query("SELECT * FROM activity", cube_parts()),
+    "user_history_clustered": query(
+        "SELECT user_id, time, action, gender, age, os, source, country, exp_group "
+        f"FROM {WEEKLY_FEED} AND user_id = {USER_ID}"),
     "daily_cube": cube(),
     "daily_cube_one_day": cube(f"CAST(time AS DATE) = {DAY}"),
     "daily_cube_stored": cube(),
@@ -665,6 +670,8 @@ GROUP BY date, os"""),
         "WHERE exp_group IN (1, 2)", USERS),
     "bootstrap_ctr": query(f"SELECT exp_group, replicate, {rounded('global_ctr')} "
                            "FROM replicates", USERS, BOOTSTRAP),
+    "bootstrap_incremental": query(f"SELECT exp_group, replicate, {rounded('global_ctr')} "
+                           "FROM replicates", USERS, BOOTSTRAP),
     "hist_ctr": histogram("ab", "ctr", (1, 2)),
     "hist_ctr_0_3": histogram("ab", "ctr", (0, 3)),
     "hist_smoothed": histogram("smoothed", "smoothed_ctr", (1, 2)),

@@ -10,6 +10,9 @@ REPAIRED = (date(2024, 1, 28), date(2024, 1, 29))
 # First day of the data; days from which the second run of an incremental job adds, and which it finds replaced.
 MONTH, HALF, LATE = date(2024, 1, 1), date(2024, 1, 15), date(2024, 1, 10)
 START, END = datetime(2024, 1, 8), datetime(2024, 1, 14)
+# A day inside the experiment with which a second run begins; a user.
+SPLIT = datetime(2024, 1, 11)
+USER = 11
 SEED = 20220613
 REPLICATES = 1000
 # So few that the rank test is exact.

@@ -4,20 +4,22 @@ Doubles are rounded, timestamps lose their zone and flags become text here, so t
 results compare with another engine; the library does none of this.
 """
 
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.parameters import (ALERT_AS_OF, AS_OF, DIGITS, END, FEW_BUCKETS, HALF, LATE, MONTH,
-                               REPAIRED, REPLICATES, SEED, START)
+                               REPAIRED, REPLICATES, SEED, SPLIT, START, USER)
 from tidemark.functions.clock import AsOf
 from tidemark.functions.scalars import during_days
 from tidemark.operators import activity, audience, segments, user_sets
 from tidemark.operators.bands import add_band, latest_points
-from tidemark.operators.bootstrap import bootstrap_by_cell, bootstrap_by_user, cells
-from tidemark.operators.experiment import (bucketed, experiment_users, group_ctr, linearized,
-                                           smoothed_ctr)
+from tidemark.operators.bootstrap import (bootstrap_by_cell, bootstrap_by_user,
+                                          bootstrap_of_days, cells, daily_replicates)
+from tidemark.operators.experiment import (bucketed, daily_experiment_users, experiment_users,
+                                           group_ctr, linearized, smoothed_ctr)
 from tidemark.operators.histogram import histogram
 from tidemark.operators.intervals import (FEED_METRICS, MESSENGER_METRICS, history_metrics,
                                           interval_metrics)
@@ -28,6 +30,7 @@ from tidemark.plans.audience_report import SOURCES, SYSTEMS, audience_report
 from tidemark.plans.daily_cube import daily_cube, run_daily_cube
 from tidemark.plans.experiment import ctr_experiment, linearized_experiment
 from tidemark.plans.incremental_cube import cube_from_parts, refresh_cube_parts
+from tidemark.sources.clustered_tables import user_rows, write_bucketed, write_clustered
 from tidemark.sources.derived_events import (feed_from_events, messages_from_events,
                                              read_events, stream_events)
 from tidemark.sources.event_tables import feed_actions, message_actions, write_by_day
@@ -198,6 +201,33 @@ def _rolling_users(t):
     return user_sets.rolling_users(bitmaps, 7, by=("os",))
 
 
+def _incremental_bootstrap(t):
+    """Replicates of the experiment from daily sums, stored in two runs."""
+    path = new_path(t.spark, "replicates")
+    for first, last in ((START, SPLIT - timedelta(microseconds=1)), (SPLIT, END)):
+        days = daily_experiment_users(t.feed, first, last, (1, 2))
+        store_days(daily_replicates(days, REPLICATES, SEED, "md5"), path)
+    return bootstrap_of_days(read_days(t.spark, path), START.date(), END.date())
+
+
+def _bucketed_activity(t):
+    """Activity per user from tables hashed by user, the messages also by recipient."""
+    names = []
+    for rows, column in ((t.feed, "user_id"), (t.messages, "user_id"), (t.messages, "reciever_id")):
+        path = new_path(t.spark, "bucketed")
+        names.append("bucketed_" + path[-32:])
+        write_bucketed(rows, names[-1], column, 8, path)
+    feed, messages, received = map(t.spark.table, names)
+    return activity.user_activity(feed, messages, received_from=received)
+
+
+def _user_history(t):
+    """Everything one user did in the feed in a week, from the clustered table."""
+    path = new_path(t.spark, "clustered")
+    write_clustered(t.feed, path, 4)
+    return during_days(user_rows(t.spark.read.parquet(path), USER, 4), *WEEK).drop("event_date")
+
+
 def _streamed_intervals(spark, sf_dir, exact=True):
     """All closed intervals of the event stream, written by a streaming query."""
     events = stream_events(spark, sf_dir)
@@ -273,6 +303,8 @@ _OVER_TABLES = {
     "messages_sent": lambda t: activity.sent_per_user(t.messages),
     "user_message_stats": lambda t: activity.user_message_stats(t.messages),
     "user_activity": lambda t: activity.user_activity(*t.both),
+    "user_activity_bucketed": _bucketed_activity,
+    "user_history_clustered": _user_history,
     "daily_cube": lambda t: daily_cube(*t.both, CLOCK),
     "daily_cube_one_day": lambda t: daily_cube(*t.both, CLOCK, date_scope="day"),
     "daily_cube_stored": _stored_cube,
@@ -329,6 +361,7 @@ _OVER_TABLES = {
     "mwu_small": lambda t: mann_whitney_test(
         bucketed(t.users(1, 2), n_buckets=FEW_BUCKETS), "bucket_ctr", (1, 2)),
     "bootstrap_ctr": lambda t: t.replicates(),
+    "bootstrap_incremental": _incremental_bootstrap,
     "bootstrap_cells": lambda t: cells(t.users(1, 2)),
     # The draws differ from engine to engine; that all of them are there does not.
     "bootstrap_by_cell": lambda t: bootstrap_by_cell(t.users(1, 2), REPLICATES, SEED).select(

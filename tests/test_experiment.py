@@ -14,8 +14,8 @@ from conftest import plan_of, rows
 from tidemark.functions.pvalues import (normal_two_sided, rank_sum_two_sided,
                                         student_two_sided)
 from tidemark.functions.scalars import hash_bucket
-from tidemark.operators.bootstrap import (bootstrap_by_cell, bootstrap_by_user,
-                                          poisson_thresholds)
+from tidemark.operators.bootstrap import (bootstrap_of_days, daily_replicates, bootstrap_by_cell, bootstrap_by_user,                                           poisson_thresholds)
+from tidemark.operators.experiment import daily_experiment_users
 from tidemark.operators.experiment import (bucketed, experiment_users, group_ctr, linearized,
                                            smoothed_ctr)
 from tidemark.operators.mannwhitney import mann_whitney_test
@@ -269,3 +269,19 @@ def test_experiment_tables(users):
     lin = rows(linearized_experiment(kept), "metric")
     assert [r["metric"] for r in lin] == ["ctr_0_3", "ctr_1_2", "lin_likes_0_3",
                                           "lin_likes_1_2"]
+
+
+def test_replicates_of_stored_days_equal_those_of_the_range(feed):
+    """Each day drawn on its own; order and division of the days do not matter."""
+    start, end = datetime(2024, 1, 8), datetime(2024, 1, 13, 23, 59, 59)
+    whole = rows(bootstrap_by_user(experiment_users(feed, start, end, (1, 2)), 40, 7),
+                 "exp_group", "replicate")
+    days = daily_experiment_users(feed, start, end, (1, 2))
+    parts = [daily_replicates(days.where(condition), 40, 7)
+             for condition in ("date >= '2024-01-11'", "date < '2024-01-11'")]
+    found = rows(bootstrap_of_days(parts[0].union(parts[1]), start.date(), end.date()),
+                 "exp_group", "replicate")
+    assert [(r["exp_group"], r["replicate"]) for r in found] == [
+        (r["exp_group"], r["replicate"]) for r in whole]
+    assert [r["global_ctr"] for r in found] == [r["global_ctr"] for r in whole]
+    assert len({r["global_ctr"] for r in found}) > 40

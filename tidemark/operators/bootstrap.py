@@ -59,11 +59,12 @@ def _xxhash64(user, block, seed):
 HASHES = {"md5": (_md5, 4), "xxhash64": (_xxhash64, 2)}
 
 
-def bootstrap_by_user(users, replicates=1000, seed=0, algorithm="xxhash64"):
-    """CTR per (group, replicate), each user drawing its own weights.
+def replicate_sums(users, replicates=1000, seed=0, algorithm="xxhash64", keys=(GROUP,)):
+    """Weighted likes and views per value of `keys` and replicate, each user drawing its own
+    weights: they depend on nothing but user, replicate and seed.
 
     Users meet the blocks of replicates inside the scan task and are summed per
-    (group, block) before the shuffle, so what moves is (tasks x groups x
+    (keys, block) before the shuffle, so what moves is (tasks x keys x
     replicates) partial sums and no user-by-replicate rows. `md5` draws can be
     reproduced by any SQL engine; `xxhash64` is the cheap default.
     """
@@ -72,23 +73,46 @@ def bootstrap_by_user(users, replicates=1000, seed=0, algorithm="xxhash64"):
     # The work is `replicates` times the size of the users. Partitions sized by
     # bytes would be far too few, so the users are spread over all tasks first.
     tasks = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    drawn = (users.select(GROUP, "user_id", "likes", "views").repartition(tasks, "user_id")
+    drawn = (users.select(*keys, "user_id", "likes", "views").repartition(tasks, "user_id")
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
     drawn = drawn.withColumn(
         "word", F.array(*words_of(F.col("user_id"), F.col("block"), seed)))
-    drawn = drawn.select(GROUP, "block", "likes", "views", *[
+    drawn = drawn.select(*keys, "block", "likes", "views", *[
         poisson_weight(F.col("word")[i]).alias(f"w{i}") for i in range(per_block)])
-    sums = drawn.groupBy(GROUP, "block").agg(
+    sums = drawn.groupBy(*keys, "block").agg(
         *[F.sum(F.col(f"w{i}") * F.col(m)).alias(f"{m}_{i}")
           for i in range(per_block) for m in ("likes", "views")])
     each = F.explode(F.array(*[
         F.struct((F.col("block") * per_block + i).alias("replicate"),
-                 ratio(f"likes_{i}", f"views_{i}").alias("global_ctr"))
+                 F.col(f"likes_{i}").alias("likes"), F.col(f"views_{i}").alias("views"))
         for i in range(per_block)])).alias("drawn")
-    return (sums.select(GROUP, each).select(GROUP, "drawn.*")
+    return (sums.select(*keys, each).select(*keys, "drawn.*")
             .where(F.col("replicate") < replicates))
 
 
+def bootstrap_by_user(users, replicates=1000, seed=0, algorithm="xxhash64"):
+    """CTR per (group, replicate), each user drawing its own weights; see `replicate_sums`."""
+    return replicate_sums(users, replicates, seed, algorithm).select(
+        GROUP, "replicate", ratio("likes", "views").alias("global_ctr"))
+
+
+def daily_replicates(users, replicates=1000, seed=0, algorithm="xxhash64"):
+    """Weighted sums of one or more days' users (`date`, group, `user_id`, `likes`, `views`).
+
+    A user draws the same weights on every day, so the sums of days add up to those of the
+    whole range: a day is drawn once, stored, and never read again.
+    """
+    return replicate_sums(users, replicates, seed, algorithm, ("date", GROUP))
+
+
+def bootstrap_of_days(sums, first, last):
+    """CTR per (group, replicate) of the days `first`..`last` from stored daily sums alone; equal
+    to `bootstrap_by_user` over the events of these days, with the same seed and algorithm."""
+    return (sums.where(F.col("date").between(F.lit(first), F.lit(last)))
+            .groupBy(GROUP, "replicate").agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"))
+            .select(GROUP, "replicate", ratio("likes", "views").alias("global_ctr")))
+
+
 def cells(users):
     """Users with equal counts as one row with their number `k`."""
     return users.groupBy(GROUP, "likes", "views").agg(F.count("*").alias("k"))

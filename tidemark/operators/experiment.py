@@ -20,6 +20,13 @@ def experiment_users(feed, start, end, groups):
             .withColumn("ctr", ratio("likes", "views")))
 
 
+def daily_experiment_users(feed, start, end, groups):
+    """As `experiment_users`, per day: `date`, group, user, likes and views."""
+    kept = feed.where(between_times(start, end) & F.col(GROUP).isin(*groups))
+    return kept.groupBy(F.to_date("time").alias("date"), "user_id", GROUP).agg(
+        count_action("like").alias("likes"), count_action("view").alias("views"))
+
+
 def group_ctr(users, groups):
     """Ratio of sums per group: at most one row for each of the named groups."""
     return (users.where(F.col(GROUP).isin(*groups)).groupBy(GROUP)

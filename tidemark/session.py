@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Timestamps with minima and maxima in Parquet's footers; the default form has none.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Streaming state is keyed by (interval, user): keep it off the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
