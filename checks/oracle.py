@@ -686,6 +686,9 @@ GROUP BY date, os"""),
     "stream_alerts": query(
         f"SELECT {ALERT_COLUMNS} FROM flagged WHERE is_alert", interval_rows("true"), CLOSED,
         single("closed"), holt("closed"), band(SMOOTHED, TRAILING)),
+    "stream_alerts_stateful": query(
+        f"SELECT {ALERT_COLUMNS} FROM flagged WHERE is_alert", interval_rows("true"), CLOSED,
+        single("closed"), holt("closed"), band(SMOOTHED, TRAILING)),
     "stream_any_order": query(
         f"SELECT {ALERT_COLUMNS} FROM flagged WHERE is_alert AND date <= {DAY}",
         interval_rows("true"), CLOSED, single("closed"), holt("closed"), band(SMOOTHED, TRAILING)),

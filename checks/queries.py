@@ -41,6 +41,7 @@ from tidemark.sources.user_set_tables import read_days, store_days
 from tidemark.streaming.intervals import (interval_stream, read_alerts, repair_day,
                                           start_alerts, write_intervals)
 from tidemark.streaming.late_rows import SOURCE_OPTIONS, run_in_any_order
+from tidemark.streaming.stateful_alerts import read_stateful_alerts, start_stateful_alerts
 
 CLOCK = AsOf.of(AS_OF)
 DAY = CLOCK.yesterday
@@ -249,6 +250,15 @@ def _streamed_alerts(spark, sf_dir):
     return read_alerts(spark, target)
 
 
+def _stateful_alerts(spark, sf_dir):
+    """The same alerts from state alone."""
+    events = stream_events(spark, sf_dir)
+    metrics = interval_stream(feed_from_events(events), messages_from_events(events))
+    target = new_path(spark, "stateful-alerts")
+    start_stateful_alerts(metrics, target, new_path(spark, "stateful-checkpoint")).awaitTermination()
+    return read_stateful_alerts(spark, target)
+
+
 def _repaired(spark, sf_dir):
     """Alerts of all days after a stream that took the newest day first, day by day repaired."""
     t = Tables(spark, sf_dir)
@@ -387,6 +397,7 @@ QUERIES = {name: _over_tables(build) for name, build in _OVER_TABLES.items()} |
     "stream_interval_metrics": lambda spark, sf_dir: comparable(
         _streamed_intervals(spark, sf_dir)),
     "stream_alerts": lambda spark, sf_dir: comparable(_streamed_alerts(spark, sf_dir)),
+    "stream_alerts_stateful": lambda spark, sf_dir: comparable(_stateful_alerts(spark, sf_dir)),
     "stream_any_order": lambda spark, sf_dir: comparable(_disordered(spark, sf_dir)),
     "stream_repaired": lambda spark, sf_dir: comparable(_repaired(spark, sf_dir)),
 }
