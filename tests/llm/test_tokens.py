@@ -40,6 +40,17 @@ def test_parts_give_the_ids_of_the_whole_text(encoders, found):
                 text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("pattern", ["{}, x", "a{}. y"])
+def test_every_sign_before_a_stop(encoders, pattern):
+    signs = [chr(c) for c in range(0x20, 0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [pattern.format(c) for c in signs]
+    for encoder, whole in encoders.values():
+        ids, at = encoder.encode(pa.array(texts))
+        wanted = [e.ids for e in whole.encode_batch_fast(texts, add_special_tokens=False)]
+        assert [hex(ord(c)) for i, c in enumerate(signs)
+                if ids[at[i]:at[i + 1]].tolist() != wanted[i]] == []
+
+
 def test_real_texts_and_forgetting(encoders, texts, monkeypatch):
     monkeypatch.setattr("tidemark.llm.tokens.KNOWN_PARTS", 500)
     some = list(texts.values())
