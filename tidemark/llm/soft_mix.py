@@ -7,16 +7,18 @@ k. The rates r_d >= 0 minimise
     sum_k (sum_d r_d t_d p_dk - T_k)^2 / (2 S_k),      S_k = sum_d t_d p_dk
 
 by projected gradient from r = 1, T_k being the target weight times the words to be drawn.
-In the metric of document lengths the step is r_d <- max(0, r_d - sum_k p_dk (s_k - T_k) / S_k)
-with s_k the present totals; its matrix has rows that sum to one, so the step length 1
-is safe, and with distinct domains a few rounds suffice. A round is one sum of K numbers over
-all documents; only these numbers reach the driver.
+In the metric of document lengths the step is r_d <- max(0, r_d - sum_k p_dk x_k), where x solves
+G x = s - T for the present totals s and the Gram matrix G of the posteriors, weighed by length, of documents
+with a positive rate: overlapping domains take no more rounds than distinct ones. A
+round is one sum of K + K (K + 1) / 2 numbers over all documents; only these reach the driver.
 
 Everything here is DataFrame expressions: no Python runs on the executors.
 """
 
 import math
+import warnings
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import bounded_sample
@@ -28,7 +30,8 @@ MOST_LABELLED = 20_000
 SMOOTHING = 0.5
 #: A document's mean log-probability weighs as so many words: memberships stay soft.
 EVIDENCE = 12.0
-ROUNDS = 60
+ROUNDS = 30
+HALVINGS = 6
 TOLERANCE = 1e-6
 SEED = 71
 
@@ -88,33 +91,58 @@ def memberships(docs, labelled, domains, most=MOST_LABELLED):
 
 
 def fit_rates(members, weights, total=None):
-    """The rate of a document as an expression over `members`, and the totals it reaches.
+    """The rate of a document as an expression over `members`, and (reached, wanted) by domain.
 
     `weights`: a number for each domain, in their order; `total`: words to be drawn, as many
-    as there are by default. Stops when no domain is further than `TOLERANCE` of its
-    total from its target, when a round no longer helps, or after `ROUNDS`.
+    as there are by default. Projected gradient on the squared gaps between reached and wanted
+    totals: rates move along the posteriors and stay nonnegative. The gradient is scaled by the
+    inverse of the Gram matrix of the posteriors of documents with a positive rate, so that overlapping domains
+    take no more rounds than distinct ones; a round that brings no gain is taken again with half the
+    step. Ends when no domain is further than `TOLERANCE` of all words from its target, when
+    `HALVINGS` halvings bring no gain (the targets cannot be met), or after `ROUNDS`. A
+    round is one sum of K + K (K + 1) / 2 numbers over all documents.
     """
     ks = range(len(weights))
+    pairs = [(i, j) for i in ks for j in ks if i <= j]
+
+    def sums(rate):
+        weighed = members.withColumn("mix_rate", rate)
+        free = F.when(F.col("mix_rate") > 0, F.col("tokens")).otherwise(0)
+        found = weighed.agg(
+            *[F.sum(F.col("mix_rate") * F.col("tokens") * F.col(f"p{k}")) for k in ks],
+            *[F.sum(free * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in pairs]).first()
+        values = [float(x or 0.0) for x in found]
+        gram = np.zeros((len(weights), len(weights)))
+        for (i, j), x in zip(pairs, values[len(weights):]):
+            gram[i, j] = gram[j, i] = x
+        return np.array(values[:len(weights)]), gram
+
     rate = F.lit(1.0)
+    now, gram = sums(rate)
+    drawn = float(now.sum() if total is None else total)
+    targets = drawn * np.array(weights, float) / sum(weights)
 
-    def totals():
-        found = members.agg(*[F.sum(rate * F.col("tokens") * F.col(f"p{k}")) for k in ks]).first()
-        return [float(x or 0.0) for x in found]
+    def gap(reached):
+        return float(np.abs(reached - targets).max()) / (drawn or 1.0)
 
-    now = first = totals()
-    drawn = sum(first) if total is None else float(total)
-    targets = [drawn * w / sum(weights) for w in weights]
-    gap = math.inf
     for _ in range(ROUNDS):
-        pull = [(s - t) / s0 if s0 else 0.0 for s, t, s0 in zip(now, targets, first)]
-        largest = max(abs(s - t) for s, t in zip(now, targets)) / (drawn or 1.0)
-        if largest <= TOLERANCE or largest > 0.999 * gap:
+        if gap(now) <= TOLERANCE:
+            break
+        pull = np.linalg.lstsq(gram, now - targets, rcond=1e-12)[0]
+        for halving in range(HALVINGS):
+            step = sum((F.col(f"p{k}") * float(pull[k] / 2 ** halving) for k in ks), F.lit(0.0))
+            moved = F.greatest(F.lit(0.0), rate - step)
+            reached, free = sums(moved)
+            if gap(reached) < 0.999 * gap(now):
+                break
+        else:
             break
-        gap = largest
-        step = sum((F.col(f"p{k}") * pull[k] for k in ks), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - step)
-        now = totals()
-    return rate, dict(zip(ks, zip(now, targets)))
+        rate, now, gram = moved, reached, free
+    return rate, {k: (float(now[k]), float(targets[k])) for k in ks}
+
+
+class TargetsNotMet(UserWarning):
+    """No nonnegative rates give the wanted totals, or not to the tolerance."""
 
 
 def soft_mix(docs, labelled, targets, total=None, most=MOST_LABELLED):
@@ -123,11 +151,17 @@ def soft_mix(docs, labelled, targets, total=None, most=MOST_LABELLED):
     `targets`: domain -> weight. `copies` are whole: the rate rounded up or down by a hash of
     the id, so that its mean is the rate and every run draws the same. One row per distinct
     id; a null id is one document with a row of its own. Null and empty texts have no
-    tokens and the prior's rate. No documents, no rows; other columns are ignored.
+    tokens and the prior's rate. No documents, no rows; other columns are ignored. Targets that
+    the documents cannot meet are approached, and a `TargetsNotMet` warning tells the totals.
     """
     domains = sorted(targets)
     members = stored(memberships(docs, labelled, domains, most), "mix-members")
-    rate, _ = fit_rates(members, [targets[d] for d in domains], total)
+    rate, totals = fit_rates(members, [targets[d] for d in domains], total)
+    words = sum(wanted for _, wanted in totals.values())
+    if any(abs(reached - wanted) > TOLERANCE * words for reached, wanted in totals.values()):
+        warnings.warn("words by domain (reached, wanted): " + ", ".join(
+            f"{d} ({reached:.0f}, {wanted:.0f})" for d, (reached, wanted) in zip(domains, totals.values())),
+            TargetsNotMet, stacklevel=2)
     uniform = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 32)) / float(1 << 32)
     posteriors = F.create_map(*[x for k, d in enumerate(domains)
                                 for x in (F.lit(d), F.col(f"p{k}"))])
@@ -142,8 +176,11 @@ def mixed(docs, labelled, targets, total=None):
     repeated, so a document with three copies appears three times.
     """
     copies = soft_mix(docs, labelled, targets, total).select(
-        F.col("doc_id").alias("mixed_id"), "copies")
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mixed_id"]))
-    return (joined.where("copies > 0")
-            .withColumn("copies", F.explode(F.sequence(F.lit(1), "copies")))
-            .select(*[docs[c] for c in docs.columns]))
+        F.col("doc_id").alias("mixed_id"), F.col("copies").alias("mixed_copies"))
+    # Whole rows travel in one column, so that no name of theirs can clash.
+    rows = docs.select(F.col("doc_id").alias("row_id"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mixed_row"))
+    joined = rows.join(copies, rows["row_id"].eqNullSafe(copies["mixed_id"]))
+    return (joined.where("mixed_copies > 0")
+            .select("mixed_row", F.explode(F.sequence(F.lit(1), "mixed_copies")).alias("copy"))
+            .select("mixed_row.*"))
