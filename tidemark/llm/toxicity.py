@@ -10,6 +10,7 @@ into a score.
 """
 
 import sys
+from bisect import bisect_right
 import unicodedata
 import zlib
 from dataclasses import dataclass
@@ -104,9 +105,14 @@ def measures(text, automaton):
             best[start] = max(weight, best.get(start, 0.0))
         else:
             spans.append((start, end))
-    for first, last in spans:
-        best = {at: w for at, w in best.items() if not first <= at < last}
-    return len(line.split()), len(best), sum(best.values())
+    # A place is excepted if one of the spans that start at or before it reaches beyond it.
+    spans.sort()
+    starts, reach = [first for first, _ in spans], []
+    for _, last in spans:
+        reach.append(max(last, reach[-1]) if reach else last)
+    kept = [w for at, w in best.items()
+            if not (i := bisect_right(starts, at)) or reach[i - 1] <= at]
+    return len(line.split()), len(kept), sum(kept)
 
 
 def curve_inputs(measured):
