@@ -62,6 +62,22 @@ def test_factor_one_is_exact(clustered, monkeypatch, shard):
     assert by_query == expected
 
 
+def test_near_ties_go_by_the_full_score(spark):
+    """Ten cosines that differ by less than the products of unit vectors tell apart."""
+    query = [1.0, 0.0]
+    rows = [(0, query, 0)] + [(90 + i, [1.0, 0.3 - 4e-14 * i], 0) for i in range(1, 11)]
+    rows += [(200 + i, [1.0, 0.3 - 4e-13], 0) for i in range(300)]  # copies of the best
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    found = vp_tree.nearest(df, "vec_id = 0", k=4).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [100, 200, 201, 202]
+    for row in found:
+        vector = np.array([dict((r[0], r[1]) for r in rows)[row["vec_id"]]])
+        assert row["score"] == vp_tree.cosine(np.array([query]), vector)[0]
+    plain = spark.createDataFrame(rows[:11], df.schema)
+    found = vp_tree.nearest(plain, "vec_id = 0", k=3).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [100, 99, 98]
+
+
 def test_larger_factors_prune_more_and_recall_less(clustered, monkeypatch):
     _, rows = clustered
     monkeypatch.setattr(vp_tree, "LEAF", 8)

@@ -27,11 +27,19 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHARD = 4096
 BLOCK = 256
 LEAF = 128
-#: Scores nearer than this are ties while searching; the last ranking uses the full scores.
-TIE = 1e-12
+#: Products of unit vectors err by less; what may be among the nearest by them gets its full score.
+SLACK = 1e-12
 ROUNDING = 1e-7
 
 
+def cosine(a, b):
+    """Row by row, summed from the first component to the last; scaled by powers of two,
+    which is exact."""
+    a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) for x in (a, b))
+    dots = [np.cumsum(x * y, axis=1)[:, -1] for x, y in ((a, b), (a, a), (b, b))]
+    return dots[0] / (np.sqrt(dots[1]) * np.sqrt(dots[2]))
+
+
 class VantageTree:
     """Nodes as rows (first, last, split, inner low, inner high, outer low, outer high):
     the node holds vectors first..last, the vantage point first, its inner half up to
@@ -71,8 +79,8 @@ class VantageTree:
                    np.frombuffer(nodes, float).reshape(-1, 7))
 
     def search(self, query_ids, queries, k, factor=1.0):
-        """(ids, scores) of the k nearest to each query that are not its own id, best first;
-        missing ones have score -inf."""
+        """(ids, scores) of the k nearest to each query that are not its own id, best first, ties to
+        the smaller id; missing ones have score -inf."""
         units = unit(queries)
         best = np.full((len(queries), k), -np.inf)
         named = np.full((len(queries), k), np.iinfo(np.int64).max)
@@ -84,12 +92,18 @@ class VantageTree:
             return np.sqrt(np.maximum(0, 2 - 2 * worst))
 
         def leaf(active, first, last):
-            scores = units[active] @ self.units[first:last].T
-            scores[query_ids[active][:, None] == self.ids[first:last]] = -np.inf
-            scores = np.concatenate([best[active], scores], axis=1)
+            near = units[active] @ self.units[first:last].T
+            near[query_ids[active][:, None] == self.ids[first:last]] = -np.inf
+            floor = best[active, -1]
+            if last - first > k:
+                floor = np.maximum(floor, np.partition(near, -k, axis=1)[:, -k])
+            of, at = np.nonzero((near >= floor[:, None] - SLACK) & (near > -np.inf))
+            full = np.full(near.shape, -np.inf)
+            full[of, at] = cosine(queries[active[of]], self.vectors[first + at])
+            scores = np.concatenate([best[active], full], axis=1)
             ids = np.concatenate([named[active], np.broadcast_to(
                 self.ids[first:last], (len(active), last - first))], axis=1)
-            order = np.lexsort((ids, -np.round(scores / TIE)), axis=1)[:, :k]
+            order = np.lexsort((ids, -scores), axis=1)[:, :k]
             best[active] = np.take_along_axis(scores, order, 1)
             named[active] = np.take_along_axis(ids, order, 1)
 
@@ -151,14 +165,6 @@ def query_blocks(queries, blocks):
         gather, BLOCKS)
 
 
-def cosine(a, b):
-    """Row by row, summed from the first component to the last; scaled by powers of two,
-    which is exact."""
-    a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) for x in (a, b))
-    dots = [np.cumsum(x * y, axis=1)[:, -1] for x, y in ((a, b), (a, a), (b, b))]
-    return dots[0] / (np.sqrt(dots[1]) * np.sqrt(dots[2]))
-
-
 def nearest(table, queries, k=5, factor=1.0, vector="embedding"):
     """`query_id`, `rank`, `vec_id`, `score`: the `k` nearest rows of `table` to every row of
     `queries` (a condition on `vec_id`), the query's own id excepted.
@@ -187,11 +193,9 @@ def nearest(table, queries, k=5, factor=1.0, vector="embedding"):
                 ids, asked = np.frombuffer(row["q_ids"], "<i8"), unpacked(row["q_vectors"], dim)
                 named, best = tree.search(ids, asked, k, factor)
                 of, at = np.nonzero(best > -np.inf)
-                place = {i: p for p, i in enumerate(tree.ids.tolist())}
-                rows = [place[i] for i in named[of, at].tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[of], pa.int64()), pa.array(named[of, at], pa.int64()),
-                     pa.array(cosine(asked[of], tree.vectors[rows]), pa.float64())],
+                     pa.array(best[of, at], pa.float64())],
                     ["query_id", "vec_id", "score"])
 
     found = pairs.mapInArrow(searched, "query_id bigint, vec_id bigint, score double")
