@@ -55,7 +55,7 @@ SALTS = 64
 DEALS = 64
 COMMON = 200
 #: Rows of windows that a task holds to merge them.
-HELD_ROWS = 3_000_000
+HELD_ROWS = 1_000_000
 BITS = 1 << 26
 BITS_OF_ROW = 1 << 15  # of a row that Spark's bitmap functions make
 WORDS = [f"w{i}" for i in range(LONGEST)]
