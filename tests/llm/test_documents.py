@@ -2,10 +2,13 @@
 
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bradley_terry, licenses, order_minhash, soft_mix, toxicity)
@@ -173,6 +176,58 @@ def test_pairs_among_strangers_who_share_a_passage_are_linked(make_docs):
     assert all(found[60 + i] == found[i] for i in range(60))
 
 
+def strangers(source, n, shared, own):
+    passage = [f"p{source.randrange(4000)}" for _ in range(shared)]
+    return [passage + [f"w{source.randrange(4000)}" for _ in range(own)] for _ in range(n)]
+
+
+def test_pairs_of_strangers_grow_with_their_number(make_docs, monkeypatch):
+    """Texts that share 70 of 110 words, no two alike: few pairs of them are aligned."""
+    tested = []
+    own = order_minhash.verified
+
+    def counting(pairs, *rest):
+        tested.append(pairs.count())
+        return own(pairs, *rest)
+    monkeypatch.setattr(order_minhash, "verified", counting)
+    counts = []
+    for n in (200, 800):
+        rows = [(i, " ".join(words)) for i, words in enumerate(strangers(random.Random(n), n, 70, 40))]
+        found = classes(order_minhash.near_duplicates(make_docs(*rows)).collect())
+        assert all(found[i] == i for i in found)
+        counts.append(sum(tested))
+        tested.clear()
+    assert counts[1] < 4 * counts[0] < 4 * 200 * order_minhash.CROWD
+
+
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15, 0.19])
+def test_pairs_in_crowded_buckets_are_found(make_docs, share):
+    """Every second of 120 texts that share a third of their words has a copy with changes."""
+    source = random.Random(int(100 * share))
+    rows = []
+    for i, words in enumerate(strangers(source, 120, 40, 80)):
+        rows.append((2 * i, " ".join(words)))
+        if i % 2:
+            rows.append((2 * i + 1, " ".join(changed(source, words, share))))
+    found = classes(order_minhash.near_duplicates(make_docs(*rows)).collect())
+    assert all(found[i] in (i, i - 1) for i in found)
+    copies = [i for i, _ in rows if i % 2]
+    assert sum(found[i] == i - 1 for i in copies) >= 0.9 * len(copies)
+
+
+def test_a_repeated_id_stands_with_one_of_its_texts(make_docs):
+    """The text of the smallest hash speaks for an id; the other one links nothing."""
+    source = random.Random(1)
+    one, two = [[f"w{source.randrange(4000)}" for _ in range(60)] for _ in range(2)]
+    first = min((one, two), key=lambda w: order_minhash.body_of(
+        order_minhash.word_hashes(pa.array([" ".join(w)]))[0]))
+    other = two if first is one else one
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join(changed(source, first, 0.05))),
+            (3, " ".join(changed(source, other, 0.05)))]
+    found = classes(order_minhash.near_duplicates(make_docs(*rows)).collect())
+    assert found == {1: 1, 2: 1, 3: 3}
+
+
 def test_awkward_documents_have_classes(awkward, make_docs):
     found = classes(order_minhash.near_duplicates(awkward).collect())
     assert found == {i: {2: 1, 3: 1, 12: 1}.get(i, i) for i in range(1, 13)}
@@ -281,6 +336,26 @@ def test_exception_phrases_do_not_count():
     assert measured("a trash can")[1:] == (0, 0)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["trash", "can", "idiot", "idiots", "of", "x", "trashcan"]), max_size=30))
+def test_matches_equal_plain_search(words):
+    entries = {" idiot": 2.0, " idiots ": 3.0, " trash": 1.0, " x ": 0.5, " can": 0.25}
+    exceptions = ("trash can", "can of x", "idiot of")
+    text = " ".join(words)
+    line = toxicity.folded(text)
+    excepted = [(m, m + len(phrase) + 1) for phrase in exceptions
+                for m in range(len(line)) if line.startswith(f" {phrase}", m)]
+    found = [max(w for e, w in entries.items() if line.startswith(e, at)) for at in range(len(line))
+             if any(line.startswith(e, at) for e in entries)
+             and not any(a <= at < b - 1 for a, b in excepted)]
+    assert measured(text, entries, exceptions) == (len(words), len(found), sum(found))
+
+
+def test_many_exceptions_take_linear_time():
+    text = "trash can idiot " * 40_000
+    assert measured(text)[1] == 40_000
+
+
 def test_length_normalises():
     lexicon = toxicity.Lexicon(toxicity.first_entries())
     auto = lexicon.automaton()
@@ -359,6 +434,45 @@ def test_rates_by_brute_force(spark):
     assert [reached[k][0] for k in range(3)] == pytest.approx(((found * t) @ p).tolist())
 
 
+def overlapping(spark, spread):
+    draw = np.random.default_rng(8)
+    first = 0.5 + draw.uniform(-spread, spread, 400)
+    return spark.createDataFrame([(i, int(n), float(p), float(1 - p)) for i, (n, p) in enumerate(
+        zip(draw.integers(1, 25, 400), first))], "doc_id bigint, tokens bigint, p0 double, p1 double")
+
+
+def test_overlapping_domains_meet_their_targets(spark):
+    """Posteriors within 0.03 of a half; a few rounds lead to the targets."""
+    members = overlapping(spark, 0.03)
+    rate, totals = soft_mix.fit_rates(members, [0.51, 0.49])
+    every = sum(wanted for _, wanted in totals.values())
+    for reached, wanted in totals.values():
+        assert abs(reached - wanted) <= 1e-6 * every
+    assert members.where(rate < 0).isEmpty()
+
+
+def test_targets_out_of_reach_are_reported(spark, make_docs):
+    members = overlapping(spark, 0.03)
+    _, totals = soft_mix.fit_rates(members, [0.9, 0.1])
+    assert abs(totals[0][0] - totals[0][1]) > 1e-3 * sum(t for _, t in totals.values())
+    docs = make_docs(*[(i, "same words in all", "en" if i % 2 else "de") for i in range(40)])
+    labelled = docs.selectExpr("doc_id", "lang as domain")
+    with pytest.warns(soft_mix.TargetsNotMet, match="en"):
+        soft_mix.soft_mix(docs, labelled, {"en": 9, "de": 1}).collect()
+
+
+def test_mixed_rows_keep_columns_of_any_name(make_docs):
+    rows, docs = mixture(make_docs)
+    names = ["copies", "mixed_id", "mixed_copies", "mixed_row", "row_id", "copy", "rate", "a.b"]
+    clash = docs.withColumns({name: F.lit(i) for i, name in enumerate(names)})
+    labelled = docs.where("doc_id % 3 = 0").selectExpr("doc_id", "lang AS domain")
+    found = soft_mix.mixed(clash, labelled, {"en": 1, "de": 3})
+    assert found.columns == clash.columns and found.schema == clash.schema
+    plain = soft_mix.mixed(docs, labelled, {"en": 1, "de": 3})
+    assert sorted(r["doc_id"] for r in found.collect()) == sorted(
+        r["doc_id"] for r in plain.collect())
+
+
 def test_mixed_rows_and_awkward_documents(spark, awkward, make_docs):
     rows, docs = mixture(make_docs)
     labelled = docs.selectExpr("doc_id", "lang AS domain")
@@ -453,6 +567,64 @@ def test_ordinary_words_of_a_notice_weigh_what_they_weigh_in_the_corpus(spark, n
     assert found[0]["score"] == pytest.approx(score)
 
 
+LGPL_21 = (
+    "This library is free software; you can redistribute it and/or\nmodify it under the terms of the "
+    "GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion "
+    "2.1 of the License, or (at your option) any later version.")
+BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted "
+    "provided that the following conditions are met:\n\n1. Redistributions of source code must retain "
+    "the above copyright notice.\n\n2. Redistributions in binary form must reproduce the above "
+    "copyright notice.\n")
+BSD_3 = BSD_2 + "\n3. Neither the name of the copyright holder may be used to endorse products.\n"
+
+
+@pytest.mark.parametrize("text, license", [
+    (LGPL_21, "LGPL-2.1"), (BSD_2, "BSD-2-Clause"), (BSD_3, "BSD-3-Clause"),
+    ("# SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+    ("# SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+    ("Licensed under CC BY 3.0.", "CC-BY-3.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"),
+    ("Licensed under CC BY-ND 2.5.", "CC-BY-ND-2.5"), ("Licensed under CC BY 9.0.", None),
+    ("Licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License.",
+     "CC-BY-NC-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 1.", None),
+    ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Licensed under the Apache License, Version 1.1.", None),
+    ("Released under the MIT License.", "MIT")])
+def test_variant_and_version_agree(spark, text, license):
+    rows = [(1, "a/x.txt", text)] + [(i, f"b/{i}", f"other words {i} here") for i in range(2, 12)]
+    assert scanned(spark, rows)[1, "a/x.txt"][0] == license
+
+
+def test_own_licences_by_brute_force(spark):
+    """Every notice of a whole table against every template, with the weights of all its terms."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    files = documents.selectExpr("doc_id", "concat_ws('/', source, lang, doc_id) as path", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.select("doc_id", "text").collect()}
+    df = Counter(t for text in texts.values() for t in set(licenses.terms(text)))
+    known = licenses.Templates(licenses.TEMPLATES, df, len(texts))
+    windows = licenses.Windows(licenses.TEMPLATES)
+    wanted = {}
+    for doc_id, text in texts.items():
+        for notice in licenses.notices(text) + windows.of(text):
+            vector = known.weighted(Counter(licenses.terms(notice)))
+            scores = [(sum(w * vector.get(t, 0.0) for t, w in own.items())
+                       / length / licenses.norm(vector), name)
+                      for (name, own, length), template in zip(known.vectors, known.texts)
+                      if licenses.agree(notice, text, template, name)]
+            best = max(scores, default=(0, None))
+            if best[0] >= licenses.THRESHOLD and best[0] > wanted.get(doc_id, (0, None))[0]:
+                wanted[doc_id] = best
+    found = {r["doc_id"]: (r["score"], r["license"]) for r in licenses.scan(files).collect()
+             if r["license"]}
+    assert set(found) == set(wanted) and len(found) > 10
+    for doc_id, (score, name) in found.items():
+        assert score == pytest.approx(wanted[doc_id][0]) and name == wanted[doc_id][1]
+
+
 def test_wrapped_texts_and_headers_have_their_licence(spark):
     import textwrap
 

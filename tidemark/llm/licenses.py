@@ -102,11 +102,21 @@ TEMPLATES = {
         "SPDX-License-Identifier: MPL-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.",
-                  "Licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
-    "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0.",),
+    "BSD-2-Clause": (
+        "Released under the 2-Clause BSD License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met",
+    ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        "This library is free software; you can redistribute it and/or modify it under "
+        "the terms of the GNU Lesser General Public License as published by the Free "
+        "Software Foundation; either version 2.1 of the License, or (at your option) any "
+        "later version.",
+    ),
     "CC0-1.0": ("Licensed under CC0 1.0 Universal.", "SPDX-License-Identifier: CC0-1.0"),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "ISC": ("Released under the ISC License.", "SPDX-License-Identifier: ISC",
@@ -116,6 +126,51 @@ TEMPLATES = {
     ),
 }
 
+#: Variants and versions of Creative Commons licences, and the words of the variants.
+CC_VARIANTS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+CC_VERSIONS = {"1.0": "Generic", "2.0": "Generic", "2.5": "Generic", "3.0": "Unported",
+               "4.0": "International"}
+TEMPLATES |= {f"CC-{variant}-{version}": (
+    f"Licensed under CC {variant} {version}.", f"SPDX-License-Identifier: CC-{variant}-{version}",
+    f"Licensed under a Creative Commons {words} {version} {where} License.")
+    for variant, words in CC_VARIANTS.items() for version, where in CC_VERSIONS.items()}
+
+# What tells licences with nearly the same words apart.
+CC_TERMS = re.compile(r"\bby((?:[-_ ](?:nc|nd|sa))+)\b")
+SIGNS = {"noncommercial": "nc", "non-commercial": "nc", "noderiv": "nd", "no-deriv": "nd",
+         "sharealike": "sa", "share-alike": "sa", "lesser general public": "lesser",
+         "lgpl": "lesser", "affero": "affero", "agpl": "affero"}
+VERSION = re.compile(
+    r"\b(?:version|v|licen[cs]e|[al]?gpl|mpl|apache|cc0|by|nc|nd|sa|attribution|commercial"
+    r"|noncommercial|noderivatives|noderivs|derivatives|sharealike|alike|bsd)"
+    r"[ ,:_-]*(?:v\.? ?)?(\d{1,2})(?:\.(\d))?(?![\d.]*\d)")
+CLAUSES = re.compile(r"\b([234])[- ]clause|\b(two|three|four)[- ]clause")
+#: The third condition of the longer one of two licences that begin alike.
+THIRD_CLAUSE = re.compile(r"neither the names? of")
+
+
+def signs(text):
+    """(variant words, versions) that a text names."""
+    low = " ".join(text.lower().split())
+    found = {sign for word, sign in SIGNS.items() if word in low}
+    for match in CC_TERMS.finditer(low):
+        found.update(re.findall("nc|nd|sa", match[1]))
+    for digit, word in CLAUSES.findall(low):
+        found.add("clauses " + (digit or {"two": "2", "three": "3", "four": "4"}[word]))
+    return found, {(int(a), int(b or 0)) for a, b in VERSION.findall(low)}
+
+
+def agree(text, whole, template, name):
+    """Does a text of the document `whole` name the variant and a version of the template?"""
+    (variants, versions), (wanted, wanted_versions) = signs(text), signs(template)
+    if name.startswith("BSD-") and "clauses" not in " ".join(variants | wanted):
+        return bool(THIRD_CLAUSE.search(" ".join(whole.lower().split()))) == (name == "BSD-3-Clause")
+    return variants == wanted and (not wanted_versions or bool(versions & wanted_versions))
+
+
 #: Beginnings of words that make a sentence worth comparing.
 MENTIONS = re.compile(r"licen[cs]e|spdx|permission is hereby|redistribut|public domain|copyright",
                       re.IGNORECASE)
@@ -196,11 +251,12 @@ class Templates:
 
     def __init__(self, templates, df, n):
         self.n, self.df = n, df
-        self.vectors = []
+        self.vectors, self.texts = [], []
         for name in sorted(templates):
             for text in templates[name]:
                 vector = self.weighted(Counter(terms(text)))
                 self.vectors.append((name, vector, norm(vector)))
+                self.texts.append(text)
         self.holders = {}
         for i, (_, vector, _) in enumerate(self.vectors):
             for term in vector:
@@ -210,33 +266,34 @@ class Templates:
         return {t: c * (math.log((self.n + 1) / (self.df.get(t, 0) + 1)) + 1)
                 for t, c in counts.items()}
 
-    def best(self, vector):
-        """(dot product by the template's length, licence); of equal ones the first by name."""
+    def best(self, vector, text, whole):
+        """(dot product by the template's length, licence) of the nearest template whose variant and
+        version the text names; of equal ones the first by name."""
         dots = Counter()
         for term, weight in vector.items():
             for i in self.holders.get(term, ()):
                 dots[i] += weight * self.vectors[i][1][term]
-        best = (0.0, None)
-        for i in sorted(dots):
-            name, _, length = self.vectors[i]
-            if dots[i] / length > best[0] * (1 + 1e-12):
-                best = (dots[i] / length, name)
-        return best
+        near = sorted((-dots[i] / self.vectors[i][2], i) for i in dots)
+        # Equal ones differ by rounding only.
+        for dot, i in sorted(near, key=lambda x: (round(x[0], 9), x[1])):
+            if agree(text, whole, self.texts[i], self.vectors[i][0]):
+                return -dot, self.vectors[i][0]
+        return 0.0, None
 
     def nearest(self, text):
-        """(cosine, licence); of equal ones the first licence by name."""
+        """(cosine, licence) of a text on its own; of equal ones the first licence by name."""
         vector = self.weighted(Counter(terms(text)))
-        dot, name = self.best(vector)
+        dot, name = self.best(vector, text, text)
         return (dot / norm(vector), name) if name else (0.0, None)
 
-    def candidate(self, text, threshold):
+    def candidate(self, text, threshold, whole=None):
         """(licence, dot, squared weights of template terms, other terms) if `text` reaches the
         threshold when its other terms weigh least; else nothing."""
         counts = Counter(terms(text))
         vector = self.weighted({t: c for t, c in counts.items() if t in self.holders})
-        dot, name = self.best(vector)
         mass = sum(w * w for w in vector.values())
         rest = {t: c for t, c in counts.items() if t not in self.holders}
+        dot, name = self.best(vector, text, whole if whole is not None else text)
         if not name or dot < (threshold - 1e-9) * math.sqrt(mass + sum(c * c for c in rest.values())):
             return None
         return name, dot, mass, " ".join(t for t in sorted(rest) for _ in range(rest[t]))
@@ -280,7 +337,7 @@ def candidates(files, known, windows, threshold):
                 out = []
                 for doc_id, path, text in zip(*[some.column(i).to_pylist() for i in range(3)]):
                     whole = [text] if by_name.search(path.rsplit("/", 1)[-1]) else []
-                    found = (known.candidate(p, threshold)
+                    found = (known.candidate(p, threshold, text)
                              for p in dict.fromkeys(whole + notices(text) + windows.of(text)))
                     out += [(doc_id, path, *x) for x in dict.fromkeys(found) if x]
                 kinds = (pa.int64(), pa.string(), pa.string(), pa.float64(), pa.float64(),
