@@ -88,4 +88,4 @@ def test_awkward_documents_pass_through(spark, awkward, make_docs, tmp_path):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
