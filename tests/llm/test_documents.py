@@ -215,6 +215,80 @@ def test_pairs_in_crowded_buckets_are_found(make_docs, share):
     assert sum(found[i] == i - 1 for i in copies) >= 0.9 * len(copies)
 
 
+@pytest.mark.parametrize("n, copies", [(150, 50), (300, 20)])
+def test_links_beside_a_shared_passage_are_all_found(make_docs, n, copies):
+    """Strangers share 78 of 100 words; a copy keeps the passage and six words more of its text."""
+    source = random.Random(n)
+    words = strangers(source, n, 78, 22)
+    rows = [(i, " ".join(text)) for i, text in enumerate(words)]
+    rows += [(n + i, " ".join(changed(source, words[i], 0, source.sample(range(78, 100), 16))))
+             for i in range(copies)]
+    found = classes(order_minhash.near_duplicates(make_docs(*rows)).collect())
+    assert found == brute_classes(rows)
+    assert all(found[n + i] == found[i] for i in range(copies))
+
+
+def test_members_alike_to_no_representative_are_linked(make_docs):
+    """Chains of copies whose ends are alike to a stranger's chain, in one large bucket."""
+    source = random.Random(12)
+    passage = [f"p{i}" for i in range(78)]
+    rows = []
+    for group in range(20):
+        # Neighbours of a chain differ in 8 words, its ends in all 22.
+        chain = [[f"g{group}x{i}" for i in range(22)]]
+        for at in (range(8), range(8, 16), range(16, 22)):
+            chain.append(changed(source, chain[-1], 0, list(at)))
+        rows += [(len(rows) + i, " ".join(passage + words)) for i, words in enumerate(chain)]
+        if group % 2:  # the end of this chain and that of the one before meet
+            bridge = chain[-1][:11] + last[11:]
+            rows.append((len(rows), " ".join(passage + bridge)))
+        last = chain[-1]
+    found = classes(order_minhash.near_duplicates(make_docs(*rows)).collect())
+    assert found == brute_classes(rows)
+
+
+def test_cheap_segments_by_brute_force():
+    source = random.Random(9)
+
+    def least(costs, n, need):
+        best = [[0] + [float("inf")] * need for _ in range(n + 1)]
+        for end, j in itertools.product(range(1, n + 1), range(1, need + 1)):
+            best[end][j] = min([best[end - 1][j]] + [
+                best[end - k][j - 1] + costs[which][end - k]
+                for which, k in enumerate(order_minhash.LENGTHS) if k <= end])
+        return best[n][need]
+    for _ in range(100):
+        n = source.randrange(1, 50)
+        need = source.choice([n // 5 + 1, n])
+        costs = [[source.choice([0, 1, 3, 20, 500]) for _ in range(max(0, n - k + 1))]
+                 for k in order_minhash.LENGTHS]
+        found = order_minhash.cheap_segments(costs, need)
+        taken = [i for _, which, first in found for i in range(first, first + order_minhash.LENGTHS[which])]
+        assert len(found) >= need and len(set(taken)) == len(taken) and set(taken) <= set(range(n))
+        assert all(cost == costs[which][first] for cost, which, first in found)
+        total, best = sum(cost for cost, _, _ in found), least(costs, n, need)
+        assert best <= total <= 8 * best + 2 * len(found)
+
+
+def test_segments_of_the_longer_text_stand_in_an_alike_one():
+    source, tested = random.Random(10), 0
+    for _ in range(300):
+        a = [source.choice(WORDS) for _ in range(source.randrange(1, 60))]
+        b = edited(source, a, source.randrange(1 + len(a) // 5)) or a
+        longer, shorter = sorted((np.array([WORDS.index(w) for w in words], np.uint64)
+                                  for words in (a, b)), key=lambda w: -len(w))
+        if not order_minhash.alike([(longer, shorter)])[0]:
+            continue
+        tested += 1
+        hashes = order_minhash.segment_hashes(longer)
+        costs = [[source.randrange(9) for _ in some] for some in hashes]
+        limit = order_minhash.limit_of(len(longer), 0.8)
+        chosen = order_minhash.cheap_segments(costs, limit + 1)
+        others = set(np.concatenate(order_minhash.segment_hashes(shorter)).tolist())
+        assert sum(hashes[which][first] in others for _, which, first in chosen) >= len(chosen) - limit > 0
+    assert tested > 200
+
+
 def test_a_repeated_id_stands_with_one_of_its_texts(make_docs):
     """The text of the smallest hash speaks for an id; the other one links nothing."""
     source = random.Random(1)

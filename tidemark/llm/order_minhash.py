@@ -15,18 +15,27 @@ key for each way to leave out as many words as may differ, which finds all their
 
 Copies with the same words are one text throughout. Inside a bucket every member is first aligned
 with the smallest one, so a group of m near copies costs m alignments. A bucket whose
-members are then in several classes holds strangers. Up to `CROWD` classes, each member is aligned with one
+members are then in several classes holds strangers. Of up to `CROWD` members, all pairs across
+classes are aligned. With more members in up to `CROWD` classes, each member is aligned with one
 representative of every other class. Beyond, strangers share a passage: the members' keys are
 deepened by one more minimum of their sketch, in text order with the others, once for each of the next
 `DEPTH` minima that fewer than `CROWD` classes of the bucket have. Those lie outside the passage, so
-strangers part, and each member is aligned with one representative of each other class there. Work
-grows with members, not with their square, and no bucket is given up. Word counts
+strangers part, and each member is aligned with one representative of each other class there.
+
+These steps join groups at a cost that grows with members, but leave pairs out. So an exact one follows
+for all members of large buckets that are still in several classes. Of two texts within d changes,
+d + c disjoint segments of the longer one have c that stand in the shorter one as they are, since
+a change spoils one segment at most. Every member looks for more than d segments of its own, chosen
+so that few members of other classes have them, among all runs of `LENGTHS` words of the others, and is a
+candidate with those who have c. Shared passages are avoided where the rest of a text allows it, and nobody is
+left out: every link inside a bucket is found, or its ends are in one class already. Word counts
 exclude most strangers before any text is read, and no pair is aligned twice.
 Texts under four words have no changes within the limit: only equal ones are alike.
 """
 
 import itertools
 import sys
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +58,12 @@ SHORT = 75
 TINY = 14
 #: Word hashes are counted in so many bins, which bounds distances from below.
 BINS = 32
-#: Classes of a bucket whose members are aligned across, and further minima of a crowded one.
+#: Members of a bucket that are all aligned across classes, classes of a larger one whose members are
+#: aligned with representatives, and further minima of a crowded one.
 CROWD = 32
 DEPTH = 4
+#: Words of the segments that crowded texts look for. The first must be 1.
+LENGTHS = (1, 2, 4)
 #: The low bits of a bucket key tell its sketch; the last number is that of keys of tiny texts.
 SKETCH_BITS = 6
 TINY_KEY = 63
@@ -59,6 +71,8 @@ SEED = 0x9E3779B97F4A7C15
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 FIRST_BAND = 16
 CELLS = 1 << 16
+#: Text whose segments are made at once; they take some twenty times its room.
+SEGMENT_BYTES = 500_000
 
 
 def word_hashes(texts):
@@ -291,6 +305,47 @@ def deeper_keys(words, at, crowded, depth=DEPTH):
     return lists
 
 
+def segment_hashes(words):
+    """For each of `LENGTHS`, the hashes of all runs of so many words, by their first word."""
+    found = []
+    for k in LENGTHS:
+        runs = np.full(max(len(words) - k + 1, 0), k, np.uint64)
+        for i in range(k):
+            runs = mixed(runs * np.uint64(SEED) + words[i:i + len(runs)])
+        found.append(runs.view(np.int64))
+    return found
+
+
+def cheap_segments(costs, need):
+    """`need` or more disjoint segments (cost, number of `LENGTHS`, first word) whose costs add up to
+    little. `costs` has a list for each of `LENGTHS`, one cost for each first word.
+
+    With a price paid for each segment, the best ones are found in one pass; it doubles until there are
+    enough, and twice more, because segments beyond `need` exclude many texts for little.
+    """
+    n, price, more = len(costs[0]), 0.5, 2
+    need = min(need, n)
+    while True:
+        gain, via = [0.0], [None]
+        for end in range(1, n + 1):
+            best, step = gain[-1], None
+            for which, k in enumerate(LENGTHS):
+                if k <= end and gain[end - k] + price - costs[which][end - k] > best:
+                    best, step = gain[end - k] + price - costs[which][end - k], which
+            gain.append(best)
+            via.append(step)
+        found, end = [], n
+        while end:
+            which = via[end]
+            end -= 1 if which is None else LENGTHS[which]
+            if which is not None:
+                found.append((costs[which][end], which, end))
+        if len(found) >= need and not more:
+            return found
+        more -= len(found) >= need
+        price *= 2
+
+
 def binned(words, at):
     """How many words of each text fall into each of `BINS` bins."""
     of_text = np.repeat(np.arange(len(at) - 1), np.diff(at))
@@ -401,11 +456,22 @@ def with_classes(members, known):
 
 
 def mixed_buckets(members):
-    """Keys of buckets that hold several classes, and how many."""
-    classes = members.select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("classes"))
+    """Keys of buckets that hold several classes, how many, and how many members."""
+    classes = members.groupBy("key", "class").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.count("*").alias("classes"), F.sum("n").alias("members"))
     return classes.where("classes > 1")
 
 
+def crossed(members, similarity):
+    """All pairs (`a`, `b`) of members of a bucket that are in different classes."""
+    others = members.select("key", F.col("doc_id").alias("b"), F.col("n_words").alias("b_words"),
+                            F.col("class").alias("other"))
+    met = members.join(others, "key").where(
+        (F.col("doc_id") < F.col("b")) & (F.col("class") != F.col("other"))
+        & near_lengths(F.col("n_words"), F.col("b_words"), similarity))
+    return met.select(F.col("doc_id").alias("a"), "b").distinct()
+
+
 def deepened(members, docs, texts):
     """Members of crowded buckets under deeper keys that between two and `CROWD` classes have."""
     crowded = members.groupBy("doc_id", "n_words", "class").agg(F.collect_set("key").alias("crowded"))
@@ -436,6 +502,81 @@ def deepened(members, docs, texts):
     return stored(under.join(some, "key"), "omh-deepened")
 
 
+def segment_pairs(members, docs, texts, similarity):
+    """Pairs (`a`, `b`) of members in different classes where the shorter text has as many of the segments
+    that the longer one looks for as changes must leave: all that are alike are among them."""
+    own = members.select("doc_id", "n_words", "class").distinct()
+    own = own.join(shuffled(texts.select("doc_id", "body")), "doc_id")
+    rows = stored(texts_of(docs).join(shuffled(own), "doc_id"), "omh-rest")
+    names = ["doc_id", "n_words", "class"]
+
+    def all_segments(batches):
+        for batch in batches:
+            for part in slices(batch, "text", SEGMENT_BYTES):
+                words, at = word_hashes(part.column("text"))
+                found = []
+                for i, body in enumerate(part.column("body").to_pylist()):
+                    text = words[at[i]:at[i + 1]]
+                    held = segment_hashes(text) if body_of(text) == body else [np.zeros(0, np.int64)]
+                    found.append(np.unique(np.concatenate(held)))
+                of = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found), pa.int64()),
+                     *[part.column(name).take(of) for name in names]], ["segment", *names])
+
+    def looked_for(batches):
+        for batch in batches:
+            for part in slices(batch, "text", SEGMENT_BYTES):
+                words, at = word_hashes(part.column("text"))
+                bodies, held = part.column("body").to_pylist(), part.column("held")
+                of, segments, times, least = [], [], [], []
+                for i, body in enumerate(bodies):
+                    text = words[at[i]:at[i + 1]]
+                    if body_of(text) != body:
+                        continue
+                    ours = held[i].values
+                    others = dict(zip(ours.field("segment").to_pylist(), ours.field("others").to_pylist()))
+                    hashes = [x.tolist() for x in segment_hashes(text)]
+                    costs = [[others.get(x, 0) for x in some] for some in hashes]
+                    limit = limit_of(len(text), similarity)
+                    chosen = cheap_segments(costs, limit + 1)
+                    met = Counter(hashes[which][first] for cost, which, first in chosen if cost)
+                    if sum(met.values()) < len(chosen) - limit:
+                        continue  # too many that nobody else has
+                    of += [i] * len(met)
+                    segments += met
+                    times += met.values()
+                    least += [len(chosen) - limit] * len(met)
+                of = pa.array(of, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(segments, pa.int64()), *[part.column(name).take(of) for name in names],
+                     pa.array(times, pa.int64()), pa.array(least, pa.int64())],
+                    ["segment", *names, "times", "least"])
+
+    schema = "segment bigint, doc_id bigint, n_words bigint, class bigint"
+    under = stored(rows.select(*names, "text", "body").mapInArrow(all_segments, schema), "omh-segments")
+    per_class = stored(under.groupBy("segment", "class").agg(F.count("*").alias("n")), "omh-segment-classes")
+    several = per_class.groupBy("segment").agg(
+        F.sum("n").alias("all"), F.count("*").alias("classes")).where("classes > 1")
+    others = stored(per_class.join(several, "segment").select(
+        "segment", "class", (F.col("all") - F.col("n")).alias("others")), "omh-segment-others")
+    under = stored(under.join(others, ["segment", "class"]), "omh-segments-met")
+    # No more entries than three for each word of a text.
+    held = under.groupBy("doc_id").agg(F.collect_set(F.struct("segment", "others")).alias("held"))
+    sought = stored(rows.join(shuffled(held), "doc_id").select(*names, "text", "body", "held").mapInArrow(
+        looked_for, f"{schema}, times bigint, least bigint"), "omh-sought")
+    # Classes meet before members do, so that members of one class never meet.
+    met = stored(sought.select("segment", "class").distinct().join(
+        others.select("segment", F.col("class").alias("other")), "segment").where(
+        F.col("class") != F.col("other")), "omh-classes-met")
+    shorter = under.select("segment", F.col("class").alias("other"), F.col("doc_id").alias("r"),
+                           F.col("n_words").alias("r_words"))
+    pairs = sought.join(met, ["segment", "class"]).join(shorter, ["segment", "other"]).where(
+        (F.col("r_words") <= F.col("n_words")) & near_lengths(F.col("n_words"), F.col("r_words"), similarity))
+    pairs = pairs.groupBy("doc_id", "r", "least").agg(F.sum("times").alias("n")).where("n >= least")
+    return pairs.select(F.least("r", "doc_id").alias("a"), F.greatest("r", "doc_id").alias("b")).distinct()
+
+
 def near_duplicates(docs, similarity=SIMILARITY):
     """`doc_id`, `class_id` (smallest id of its class) and `kept` (the two are equal).
 
@@ -467,14 +608,27 @@ def near_duplicates(docs, similarity=SIMILARITY):
     # Buckets of several classes: their heads were strangers to some.
     left = stored(with_classes(shared, known), "omh-left")
     several = stored(mixed_buckets(left), "omh-mixed")
-    crowd = (F.col("classes") > CROWD) & (F.col("key").bitwiseAND(TINY_KEY) != TINY_KEY)
-    few = left.join(several.where(~crowd).select("key"), "key")
-    many = stored(left.join(several.where(crowd).select("key"), "key"), "omh-crowded")
-    pairs = across(few, similarity).union(
+    small, crowd = F.col("members") <= CROWD, F.col("classes") > CROWD
+    tiny = F.col("key").bitwiseAND(TINY_KEY) == TINY_KEY
+    close = left.join(several.where(small).select("key"), "key")
+    large = stored(left.join(several.where(~small).select("key", "classes"), "key"), "omh-large")
+    few = large.where(~crowd).drop("classes")
+    many = large.where(crowd & ~tiny).drop("classes")
+    pairs = crossed(close, similarity).union(across(few, similarity)).union(
         across(deepened(many, docs, one_each), similarity)).distinct().join(
         first, ["a", "b"], "left_anti")
+    pairs = stored(pairs, "omh-second")
     more = stored(verified(possible(pairs, one_each, similarity), docs, similarity), "omh-links")
-    classes = stored(components(links.union(more), "omh-classes"), "omh-classes")
+    links = links.union(more)
+    classes = stored(components(links, "omh-classes"), "omh-classes")
+    # Large buckets still of several classes: what no representative and no deeper key brought together.
+    large = stored(with_classes(large.select("key", "doc_id", "n_words"), classes), "omh-left")
+    rest = stored(large.join(mixed_buckets(large).select("key"), "key"), "omh-rest")
+    if not rest.isEmpty():
+        pairs = segment_pairs(rest, docs, one_each, similarity).join(
+            first.union(pairs), ["a", "b"], "left_anti")
+        more = stored(verified(possible(pairs, one_each, similarity), docs, similarity), "omh-links")
+        classes = stored(components(links.union(more), "omh-classes"), "omh-classes")
     class_id = F.coalesce("component", "first")
     return members.join(classes, members["first"] == classes["node"], "left").select(
         "doc_id", class_id.alias("class_id"), (class_id == F.col("doc_id")).alias("kept"))
