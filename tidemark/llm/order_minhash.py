@@ -27,7 +27,7 @@ for all members of large buckets that are still in several classes. Of two texts
 d + c disjoint segments of the longer one have c that stand in the shorter one as they are, since
 a change spoils one segment at most. Every member looks for more than d segments of its own, chosen
 so that few members of other classes have them, among all runs of `LENGTHS` words of the others, and is a
-candidate with those who have c. Shared passages are avoided where the rest of a text allows it, and nobody is
+candidate with those who have c of them at places that the changes allow. Shared passages are avoided where the rest of a text allows it, and nobody is
 left out: every link inside a bucket is found, or its ends are in one class already. Word counts
 exclude most strangers before any text is read, and no pair is aligned twice.
 Texts under four words have no changes within the limit: only equal ones are alike.
@@ -35,7 +35,6 @@ Texts under four words have no changes within the limit: only equal ones are ali
 
 import itertools
 import sys
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -64,11 +63,14 @@ CROWD = 32
 DEPTH = 4
 #: Words of the segments that crowded texts look for. The first must be 1.
 LENGTHS = (1, 2, 4)
+#: So many of them must stand in another text, where a text has as many that are not much dearer than one.
+HITS = 3
 #: The low bits of a bucket key tell its sketch; the last number is that of keys of tiny texts.
 SKETCH_BITS = 6
 TINY_KEY = 63
 SEED = 0x9E3779B97F4A7C15
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+PLACES = ["segment", "times", "first", "last"]
 FIRST_BAND = 16
 CELLS = 1 << 16
 #: Text whose segments are made at once; they take some twenty times its room.
@@ -346,6 +348,15 @@ def cheap_segments(costs, need):
         price *= 2
 
 
+def places_of(segments, at):
+    """The distinct ones of a text's segments, how often they stand there, first and last place."""
+    order = np.lexsort((at, segments))
+    segments, at = segments[order], at[order]
+    begins = np.flatnonzero(np.append(True, segments[1:] != segments[:-1]))
+    ends = np.append(begins[1:], len(segments))
+    return segments[begins], ends - begins, at[begins], at[ends - 1]
+
+
 def binned(words, at):
     """How many words of each text fall into each of `BINS` bins."""
     of_text = np.repeat(np.arange(len(at) - 1), np.diff(at))
@@ -514,22 +525,25 @@ def segment_pairs(members, docs, texts, similarity):
         for batch in batches:
             for part in slices(batch, "text", SEGMENT_BYTES):
                 words, at = word_hashes(part.column("text"))
-                found = []
+                of, found = [], [[np.zeros(0, np.int64)] * 4]
                 for i, body in enumerate(part.column("body").to_pylist()):
                     text = words[at[i]:at[i + 1]]
-                    held = segment_hashes(text) if body_of(text) == body else [np.zeros(0, np.int64)]
-                    found.append(np.unique(np.concatenate(held)))
-                of = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]), pa.int64())
+                    if body_of(text) == body:
+                        held = segment_hashes(text)
+                        found.append(places_of(np.concatenate(held),
+                                               np.concatenate([np.arange(len(x)) for x in held])))
+                        of += [i] * len(found[-1][0])
+                of = pa.array(of, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found), pa.int64()),
-                     *[part.column(name).take(of) for name in names]], ["segment", *names])
+                    [*[pa.array(np.concatenate(x), pa.int64()) for x in zip(*found)],
+                     *[part.column(name).take(of) for name in names]], [*PLACES, *names])
 
     def looked_for(batches):
         for batch in batches:
             for part in slices(batch, "text", SEGMENT_BYTES):
                 words, at = word_hashes(part.column("text"))
                 bodies, held = part.column("body").to_pylist(), part.column("held")
-                of, segments, times, least = [], [], [], []
+                of, found, limits, least = [], [[np.zeros(0, np.int64)] * 4], [], []
                 for i, body in enumerate(bodies):
                     text = words[at[i]:at[i + 1]]
                     if body_of(text) != body:
@@ -539,21 +553,22 @@ def segment_pairs(members, docs, texts, similarity):
                     hashes = [x.tolist() for x in segment_hashes(text)]
                     costs = [[others.get(x, 0) for x in some] for some in hashes]
                     limit = limit_of(len(text), similarity)
-                    chosen = cheap_segments(costs, limit + 1)
-                    met = Counter(hashes[which][first] for cost, which, first in chosen if cost)
-                    if sum(met.values()) < len(chosen) - limit:
+                    chosen = sorted(cheap_segments(costs, limit + 1))[:limit + HITS]
+                    met = [(hashes[which][first], first) for cost, which, first in chosen if cost]
+                    if len(met) < len(chosen) - limit:
                         continue  # too many that nobody else has
-                    of += [i] * len(met)
-                    segments += met
-                    times += met.values()
-                    least += [len(chosen) - limit] * len(met)
+                    found.append(places_of(*np.array(met, np.int64).T))
+                    of += [i] * len(found[-1][0])
+                    limits += [limit] * len(found[-1][0])
+                    least += [len(chosen) - limit] * len(found[-1][0])
                 of = pa.array(of, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(segments, pa.int64()), *[part.column(name).take(of) for name in names],
-                     pa.array(times, pa.int64()), pa.array(least, pa.int64())],
-                    ["segment", *names, "times", "least"])
+                    [*[pa.array(np.concatenate(x), pa.int64()) for x in zip(*found)],
+                     *[part.column(name).take(of) for name in names],
+                     pa.array(limits, pa.int64()), pa.array(least, pa.int64())],
+                    [*PLACES, *names, "limit", "least"])
 
-    schema = "segment bigint, doc_id bigint, n_words bigint, class bigint"
+    schema = ", ".join(f"{name} bigint" for name in [*PLACES, *names])
     under = stored(rows.select(*names, "text", "body").mapInArrow(all_segments, schema), "omh-segments")
     per_class = stored(under.groupBy("segment", "class").agg(F.count("*").alias("n")), "omh-segment-classes")
     several = per_class.groupBy("segment").agg(
@@ -564,16 +579,22 @@ def segment_pairs(members, docs, texts, similarity):
     # No more entries than three for each word of a text.
     held = under.groupBy("doc_id").agg(F.collect_set(F.struct("segment", "others")).alias("held"))
     sought = stored(rows.join(shuffled(held), "doc_id").select(*names, "text", "body", "held").mapInArrow(
-        looked_for, f"{schema}, times bigint, least bigint"), "omh-sought")
+        looked_for, f"{schema}, limit bigint, least bigint"), "omh-sought")
     # Classes meet before members do, so that members of one class never meet.
     met = stored(sought.select("segment", "class").distinct().join(
         others.select("segment", F.col("class").alias("other")), "segment").where(
         F.col("class") != F.col("other")), "omh-classes-met")
     shorter = under.select("segment", F.col("class").alias("other"), F.col("doc_id").alias("r"),
-                           F.col("n_words").alias("r_words"))
+                           F.col("n_words").alias("r_words"), F.col("first").alias("r_first"),
+                           F.col("last").alias("r_last"), F.col("times").alias("r_times"))
+    # Changes move a segment that is left by no more than the limit.
+    near = (F.col("first") - F.col("limit") <= F.col("r_last")) & (
+        F.col("r_first") <= F.col("last") + F.col("limit"))
     pairs = sought.join(met, ["segment", "class"]).join(shorter, ["segment", "other"]).where(
-        (F.col("r_words") <= F.col("n_words")) & near_lengths(F.col("n_words"), F.col("r_words"), similarity))
-    pairs = pairs.groupBy("doc_id", "r", "least").agg(F.sum("times").alias("n")).where("n >= least")
+        (F.col("r_words") <= F.col("n_words")) & near
+        & near_lengths(F.col("n_words"), F.col("r_words"), similarity))
+    pairs = pairs.groupBy("doc_id", "r", "least").agg(
+        F.sum(F.least("times", "r_times")).alias("n")).where("n >= least")
     return pairs.select(F.least("r", "doc_id").alias("a"), F.greatest("r", "doc_id").alias("b")).distinct()
 
 
