@@ -292,6 +292,65 @@ def test_segments_of_the_longer_text_stand_in_an_alike_one():
     assert tested > 200
 
 
+def brute_union(texts, classes, pairs):
+    """The classes that alike pairs of them connect, by their smallest member."""
+    joined = {c: c for c in classes}
+    linked = [p for p, ok in zip(pairs, order_minhash.alike([(texts[i], texts[j]) for i, j in pairs])) if ok]
+    for _ in joined:
+        for i, j in linked:
+            joined[classes[i]] = joined[classes[j]] = min(joined[classes[i]], joined[classes[j]])
+    return joined
+
+
+@pytest.mark.parametrize("two_blocks", [False, True])
+def test_links_of_blocks_unite_what_brute_force_does(two_blocks):
+    source = random.Random(11 + two_blocks)
+    for n_words in (9, 30, 60):
+        texts = []
+        for base in strangers(source, 8, n_words // 2, n_words // 2):
+            texts += [base] + [changed(source, base, source.choice([0.05, 0.12, 0.2, 0.25])) for _ in range(6)]
+            texts += [source.sample(base, len(base)) for _ in range(6)]  # other orders
+        source.shuffle(texts)
+        texts = [order_minhash.word_hashes(pa.array([" ".join(words)]))[0] for words in texts]
+        number = [source.randrange(60) for _ in texts]
+        first = np.array([source.random() < 0.5 for _ in texts]) if two_blocks else None
+        pairs = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2)
+                 if first is None or first[i] != first[j]]
+        links = order_minhash.uniting_links(texts, np.array(number), first, 0.8)
+        assert len(links) < len(set(number)) and all(tuple(sorted(link)) in set(pairs) for link in links)
+        assert brute_union(texts, number, links) == brute_union(texts, number, pairs)
+
+
+@pytest.mark.parametrize("block", [8, 1024])
+def test_crowded_copies_equal_brute_force_in_blocks_of_any_size(make_docs, monkeypatch, block):
+    """Copies of one text, few of which are alike, all in the same buckets."""
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    source = random.Random(14)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(edited(source, base, source.randrange(4, 12)) + ["more"] * source.randrange(9)))
+            for i in range(90)]
+    found = classes(order_minhash.near_duplicates(make_docs(*rows)).collect())
+    assert found == brute_classes(rows) and len(set(found.values())) > 1
+
+
+def test_no_table_of_the_exact_step_holds_pairs(make_docs, monkeypatch):
+    """400 copies of a text, most of them a little too far from each other: few rows for each."""
+    written = []
+    own = order_minhash.stored
+
+    def counting(rows, label):
+        found = own(rows, label)
+        if label == "omh-rest" or written:
+            written.append(found.count())
+        return found
+    monkeypatch.setattr(order_minhash, "stored", counting)
+    source = random.Random(400)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(changed(source, base, 0.15))) for i in range(400)]
+    order_minhash.near_duplicates(make_docs(*rows)).collect()
+    assert 400 <= max(written) < 2 * order_minhash.FAMILY[1] * 400
+
+
 def test_a_repeated_id_stands_with_one_of_its_texts(make_docs):
     """The text of the smallest hash speaks for an id; the other one links nothing."""
     source = random.Random(1)

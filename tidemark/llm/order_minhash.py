@@ -23,18 +23,22 @@ deepened by one more minimum of their sketch, in text order with the others, onc
 strangers part, and each member is aligned with one representative of each other class there.
 
 These steps join groups at a cost that grows with members, but leave pairs out. So an exact one follows
-for all members of large buckets that are still in several classes. Of two texts within d changes,
-d + c disjoint segments of the longer one have c that stand in the shorter one as they are, since
-a change spoils one segment at most. Every member looks for more than d segments of its own, chosen
-so that few members of other classes have them, among all runs of `LENGTHS` words of the others, and is a
-candidate with those who have c of them at places that the changes allow. Shared passages are avoided where the rest of a text allows it, and nobody is
-left out: every link inside a bucket is found, or its ends are in one class already. Word counts
-exclude most strangers before any text is read, and no pair is aligned twice.
+for all members of large buckets that are still in several classes. They are dealt to bounded blocks by
+length, and a task compares two blocks. Words of a text that no other class there has are changes; who
+has more of them than the limit is alike to nobody and leaves, which few strangers survive. The rest are
+compared by the words that pairs share, and aligned where these leave the distance open and the two are
+not in one class yet. A text with many candidates first looks for segments: of two texts within d changes,
+d + c disjoint segments of one have c that stand in the other as they are, since a change spoils one segment at
+most. So nobody is left out: every link inside a bucket is found, or its ends are in one class already; only links
+that unite classes leave a task. The number of pairs of blocks grows with the square of a crowded
+bucket, at some thousand members a block.
 Texts under four words have no changes within the limit: only equal ones are alike.
 """
 
 import itertools
+import math
 import sys
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +65,7 @@ BINS = 32
 #: aligned with representatives, and further minima of a crowded one.
 CROWD = 32
 DEPTH = 4
-#: Words of the segments that crowded texts look for. The first must be 1.
+#: Words of the segments that a text with more than `CROWD` candidates looks for. The first must be 1.
 LENGTHS = (1, 2, 4)
 #: So many of them must stand in another text, where a text has as many that are not much dearer than one.
 HITS = 3
@@ -70,11 +74,12 @@ SKETCH_BITS = 6
 TINY_KEY = 63
 SEED = 0x9E3779B97F4A7C15
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-PLACES = ["segment", "times", "first", "last"]
 FIRST_BAND = 16
 CELLS = 1 << 16
-#: Text whose segments are made at once; they take some twenty times its room.
-SEGMENT_BYTES = 500_000
+#: Most texts and words of a block of members of crowded buckets, on average, and more blocks than a band has.
+BLOCK = 1024
+BLOCK_WORDS = 500_000
+BANDS = 1 << 32
 
 
 def word_hashes(texts):
@@ -348,15 +353,6 @@ def cheap_segments(costs, need):
         price *= 2
 
 
-def places_of(segments, at):
-    """The distinct ones of a text's segments, how often they stand there, first and last place."""
-    order = np.lexsort((at, segments))
-    segments, at = segments[order], at[order]
-    begins = np.flatnonzero(np.append(True, segments[1:] != segments[:-1]))
-    ends = np.append(begins[1:], len(segments))
-    return segments[begins], ends - begins, at[begins], at[ends - 1]
-
-
 def binned(words, at):
     """How many words of each text fall into each of `BINS` bins."""
     of_text = np.repeat(np.arange(len(at) - 1), np.diff(at))
@@ -513,89 +509,130 @@ def deepened(members, docs, texts):
     return stored(under.join(some, "key"), "omh-deepened")
 
 
-def segment_pairs(members, docs, texts, similarity):
-    """Pairs (`a`, `b`) of members in different classes where the shorter text has as many of the segments
-    that the longer one looks for as changes must leave: all that are alike are among them."""
-    own = members.select("doc_id", "n_words", "class").distinct()
-    own = own.join(shuffled(texts.select("doc_id", "body")), "doc_id")
-    rows = stored(texts_of(docs).join(shuffled(own), "doc_id"), "omh-rest")
-    names = ["doc_id", "n_words", "class"]
+def in_order(text, others, similarity):
+    """Which of the other texts hold as many segments of a text as changes must leave? A text looks
+    for ones that few others have; all that are alike do."""
+    hashes = [x.tolist() for x in segment_hashes(text)]
+    held = [set(np.concatenate(segment_hashes(x)).tolist()) for x in others]
+    counts = Counter(itertools.chain.from_iterable(held))
+    limit = limit_of(max(len(x) for x in [text, *others]), similarity)
+    chosen = sorted(cheap_segments([[counts[x] for x in some] for some in hashes], limit + 1))[:limit + HITS]
+    sought = [hashes[which][first] for _, which, first in chosen]
+    return np.array([sum(x in own for x in sought) >= len(chosen) - limit for own in held], bool)
 
-    def all_segments(batches):
-        for batch in batches:
-            for part in slices(batch, "text", SEGMENT_BYTES):
-                words, at = word_hashes(part.column("text"))
-                of, found = [], [[np.zeros(0, np.int64)] * 4]
-                for i, body in enumerate(part.column("body").to_pylist()):
-                    text = words[at[i]:at[i + 1]]
-                    if body_of(text) == body:
-                        held = segment_hashes(text)
-                        found.append(places_of(np.concatenate(held),
-                                               np.concatenate([np.arange(len(x)) for x in held])))
-                        of += [i] * len(found[-1][0])
-                of = pa.array(of, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(np.concatenate(x), pa.int64()) for x in zip(*found)],
-                     *[part.column(name).take(of) for name in names]], [*PLACES, *names])
 
-    def looked_for(batches):
+def unshared(codes, owner, classes):
+    """How many words of each text stand in no text of another class."""
+    low, high = (np.full(codes.max(initial=0) + 1, x) for x in (len(classes), -1))
+    _, number = np.unique(classes, return_inverse=True)
+    np.minimum.at(low, codes, number[owner])
+    np.maximum.at(high, codes, number[owner])
+    return np.bincount(owner, weights=(low == high)[codes], minlength=len(classes))
+
+
+def uniting_links(texts, classes, first, similarity):
+    """Links (i, j) that unite all classes which alike pairs connect; `first` tells which texts are
+    paired with the others, None pairs all.
+
+    Words that no other class has are changes, so texts with too many of them leave, until nobody does.
+    What stays is compared by the words that two texts share, and aligned if these leave it open.
+    """
+    lengths = np.array([len(x) for x in texts])
+    limits = np.floor((1 - similarity) * lengths + 1e-9)
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    codes = np.unique(np.concatenate(texts), return_inverse=True)[1]
+    stays = np.ones(len(texts), bool)
+    while True:
+        leaves = stays & (unshared(codes, owner, classes) > limits)
+        if not leaves.any():
+            break
+        stays &= ~leaves
+        codes, owner = codes[stays[owner]], owner[stays[owner]]
+    n_codes = codes.max(initial=0) + 1
+    entries, times = np.unique(owner * n_codes + codes, return_counts=True)
+    owner, codes = entries // n_codes, entries % n_codes
+    begins = np.searchsorted(owner, np.arange(len(texts) + 1))
+    seconds = stays if first is None else stays & ~first
+    of_second = seconds[owner]
+    other_codes, other_times = codes[of_second], times[of_second]
+    others = np.flatnonzero(seconds)
+    starts = np.searchsorted(owner[of_second], others)
+    united, links, has = classes.copy(), [], np.zeros(n_codes, np.int64)
+    for i in np.flatnonzero(stays if first is None else stays & first).tolist() if len(others) else []:
+        own = slice(begins[i], begins[i + 1])
+        has[codes[own]] = times[own]
+        shared = np.add.reduceat(np.minimum(has[other_codes], other_times), starts)
+        has[codes[own]] = 0
+        longer = np.maximum(lengths[i], lengths[others])
+        near = longer - shared <= np.maximum(limits[i], limits[others])
+        met = others[near & (united[others] != united[i]) & ((others > i) | (first is not None))]
+        if len(met) > CROWD:
+            met = met[in_order(texts[i], [texts[j] for j in met.tolist()], similarity)]
+        while len(met):
+            some, met = met[:CROWD], met[CROWD:]
+            ok = alike([(texts[i], texts[j]) for j in some.tolist()], similarity)
+            for j in some[ok].tolist():
+                if united[j] != united[i]:
+                    united[united == united[j]] = united[i]
+                    links.append((i, j))
+            met = met[united[met] != united[i]]
+    return links
+
+
+def crowded_links(members, docs, texts, similarity):
+    """Links (`a`, `b`) that unite the classes of all alike members of a bucket.
+
+    Buckets with the same largest class are one group, so that copies which meet in many of them meet
+    once. The members of a group are dealt to blocks by their length and id; every block is compared with itself and
+    with those of the same and of the next length.
+    """
+    held = members.groupBy("key", "class").agg(F.count("*").alias("n"))
+    of_key = held.groupBy("key").agg(F.max(F.struct("n", "class")).alias("most")).select(
+        "key", F.col("most.class").alias("group"))
+    # Texts that may be alike are in one band or in neighbouring ones.
+    width = -math.log(max(similarity, 1e-9)) + 1e-6
+    grouped = stored(members.join(of_key, "key").select(
+        "group", "doc_id", "n_words", "class",
+        F.floor(F.log("n_words") / width).alias("band")).distinct(), "omh-groups")
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_words") / BLOCK_WORDS))
+    sizes = stored(grouped.groupBy("group", "band").agg(parts.alias("parts")), "omh-blocks")
+    other = sizes.select("group", F.col("band").alias("other"), F.col("parts").alias("other_parts"))
+    part = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
+    place, met = F.col("band") * BANDS + part, F.col("other") * BANDS + F.col("other_part")
+    near = F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("other")
+    dealt = grouped.join(sizes, ["group", "band"]).select("*", near).join(other, ["group", "other"]).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("other_parts") - 1)).alias("other_part"))
+    dealt = stored(dealt.select("group", "doc_id", "class", place.alias("place"), F.least(place, met).alias("low"),
+                                F.greatest(place, met).alias("high")), "omh-dealt")
+    # Where one class is alone, there is nothing to unite.
+    several = dealt.groupBy("group", "low", "high").agg(
+        F.min("class").alias("least"), F.max("class").alias("most")).where("least < most")
+    dealt = dealt.join(several.select("group", "low", "high"), ["group", "low", "high"])
+    own = members.select("doc_id").distinct().join(shuffled(texts.select("doc_id", "body")), "doc_id")
+
+    def hashed(batches):
         for batch in batches:
-            for part in slices(batch, "text", SEGMENT_BYTES):
+            for part in slices(batch):
                 words, at = word_hashes(part.column("text"))
-                bodies, held = part.column("body").to_pylist(), part.column("held")
-                of, found, limits, least = [], [[np.zeros(0, np.int64)] * 4], [], []
-                for i, body in enumerate(bodies):
-                    text = words[at[i]:at[i + 1]]
-                    if body_of(text) != body:
-                        continue
-                    ours = held[i].values
-                    others = dict(zip(ours.field("segment").to_pylist(), ours.field("others").to_pylist()))
-                    hashes = [x.tolist() for x in segment_hashes(text)]
-                    costs = [[others.get(x, 0) for x in some] for some in hashes]
-                    limit = limit_of(len(text), similarity)
-                    chosen = sorted(cheap_segments(costs, limit + 1))[:limit + HITS]
-                    met = [(hashes[which][first], first) for cost, which, first in chosen if cost]
-                    if len(met) < len(chosen) - limit:
-                        continue  # too many that nobody else has
-                    found.append(places_of(*np.array(met, np.int64).T))
-                    of += [i] * len(found[-1][0])
-                    limits += [limit] * len(found[-1][0])
-                    least += [len(chosen) - limit] * len(found[-1][0])
-                of = pa.array(of, pa.int64())
+                found = [words[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                own = [body_of(w) == body for w, body in zip(found, part.column("body").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(np.concatenate(x), pa.int64()) for x in zip(*found)],
-                     *[part.column(name).take(of) for name in names],
-                     pa.array(limits, pa.int64()), pa.array(least, pa.int64())],
-                    [*PLACES, *names, "limit", "least"])
-
-    schema = ", ".join(f"{name} bigint" for name in [*PLACES, *names])
-    under = stored(rows.select(*names, "text", "body").mapInArrow(all_segments, schema), "omh-segments")
-    per_class = stored(under.groupBy("segment", "class").agg(F.count("*").alias("n")), "omh-segment-classes")
-    several = per_class.groupBy("segment").agg(
-        F.sum("n").alias("all"), F.count("*").alias("classes")).where("classes > 1")
-    others = stored(per_class.join(several, "segment").select(
-        "segment", "class", (F.col("all") - F.col("n")).alias("others")), "omh-segment-others")
-    under = stored(under.join(others, ["segment", "class"]), "omh-segments-met")
-    # No more entries than three for each word of a text.
-    held = under.groupBy("doc_id").agg(F.collect_set(F.struct("segment", "others")).alias("held"))
-    sought = stored(rows.join(shuffled(held), "doc_id").select(*names, "text", "body", "held").mapInArrow(
-        looked_for, f"{schema}, limit bigint, least bigint"), "omh-sought")
-    # Classes meet before members do, so that members of one class never meet.
-    met = stored(sought.select("segment", "class").distinct().join(
-        others.select("segment", F.col("class").alias("other")), "segment").where(
-        F.col("class") != F.col("other")), "omh-classes-met")
-    shorter = under.select("segment", F.col("class").alias("other"), F.col("doc_id").alias("r"),
-                           F.col("n_words").alias("r_words"), F.col("first").alias("r_first"),
-                           F.col("last").alias("r_last"), F.col("times").alias("r_times"))
-    # Changes move a segment that is left by no more than the limit.
-    near = (F.col("first") - F.col("limit") <= F.col("r_last")) & (
-        F.col("r_first") <= F.col("last") + F.col("limit"))
-    pairs = sought.join(met, ["segment", "class"]).join(shorter, ["segment", "other"]).where(
-        (F.col("r_words") <= F.col("n_words")) & near
-        & near_lengths(F.col("n_words"), F.col("r_words"), similarity))
-    pairs = pairs.groupBy("doc_id", "r", "least").agg(
-        F.sum(F.least("times", "r_times")).alias("n")).where("n >= least")
-    return pairs.select(F.least("r", "doc_id").alias("a"), F.greatest("r", "doc_id").alias("b")).distinct()
+                    [part.column("doc_id"), pa.array([w.tobytes() for w in found], pa.binary())],
+                    ["doc_id", "words"]).filter(pa.array(own, pa.bool_()))
+
+    words = stored(texts_of(docs).join(shuffled(own), "doc_id").select("doc_id", "text", "body").mapInArrow(
+        hashed, "doc_id bigint, words binary").distinct(), "omh-words")
+
+    def compared(block):
+        ids, place = block.column("doc_id").to_numpy(), block.column("place").to_numpy()
+        found = [np.frombuffer(x, np.uint64) for x in block.column("words").to_pylist()]
+        links = uniting_links(found, block.column("class").to_numpy(),
+                              None if (place == place[0]).all() else place == place.min(), similarity)
+        pairs = np.sort(ids[np.array(links, np.int64).reshape(-1, 2)], axis=1)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return dealt.join(shuffled(words), "doc_id").groupBy("group", "low", "high").applyInArrow(
+        compared, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs, similarity=SIMILARITY):
@@ -646,9 +683,7 @@ def near_duplicates(docs, similarity=SIMILARITY):
     large = stored(with_classes(large.select("key", "doc_id", "n_words"), classes), "omh-left")
     rest = stored(large.join(mixed_buckets(large).select("key"), "key"), "omh-rest")
     if not rest.isEmpty():
-        pairs = segment_pairs(rest, docs, one_each, similarity).join(
-            first.union(pairs), ["a", "b"], "left_anti")
-        more = stored(verified(possible(pairs, one_each, similarity), docs, similarity), "omh-links")
+        more = stored(crowded_links(rest, docs, one_each, similarity), "omh-links")
         classes = stored(components(links.union(more), "omh-classes"), "omh-classes")
     class_id = F.coalesce("component", "first")
     return members.join(classes, members["first"] == classes["node"], "left").select(
