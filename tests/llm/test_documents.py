@@ -351,6 +351,28 @@ def test_no_table_of_the_exact_step_holds_pairs(make_docs, monkeypatch):
     assert 400 <= max(written) < 2 * order_minhash.FAMILY[1] * 400
 
 
+def test_links_of_later_steps_are_between_classes(make_docs, monkeypatch):
+    """A crowded bucket takes all three steps; only the first goes through the documents that are linked."""
+    from tidemark.llm import components
+    written = []
+    own = components.stored
+
+    def counting(rows, label):
+        found = own(rows, label)
+        written.append((found.columns, found.count()))
+        return found
+    monkeypatch.setattr(components, "stored", counting)
+    source = random.Random(400)
+    texts = [[f"w{group}.{i}" for i in range(100)] for group in range(8)]
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + changed(source, texts[i % 8], 0.12))) for i in range(400)]
+    order_minhash.near_duplicates(make_docs(*rows)).collect()
+    assert len(written) <= 20
+    minima = [n for columns, n in written if columns == ["u", "m", "open"]]
+    assert max(minima) >= 200
+    assert sum(n < 100 for n in minima) >= 2
+
+
 def test_a_repeated_id_stands_with_one_of_its_texts(make_docs):
     """The text of the smallest hash speaks for an id; the other one links nothing."""
     source = random.Random(1)

@@ -6,7 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidemark.llm import cover_tree, vp_tree
-from tidemark.llm.components import components
+from tidemark.llm import components as steps
+from tidemark.llm.components import components, with_further_edges
 from tidemark.llm.vectors import packed, unit, unpacked
 
 ROWS = "vec_id bigint, embedding array<float>, label int"
@@ -173,6 +174,47 @@ def test_components(spark, edges):
     assert {r["node"]: r["component"] for r in found} == root and len(found) == len(root)
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """How many rows each table has that the components write."""
+    rows, own = [], steps.stored
+
+    def counting(table, label):
+        found = own(table, label)
+        rows.append(found.count())
+        return found
+    monkeypatch.setattr(steps, "stored", counting)
+    return rows
+
+
+def test_stars_need_no_round(spark, written):
+    stars = spark.range(10, 60).selectExpr("id % 10 AS a", "id AS b")
+    assert {(r["node"], r["component"]) for r in components(stars).collect()} == {
+        (n, n % 10) for n in range(60)}
+    assert written == [50, 60]
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=20),
+       st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=10))
+def test_further_edges_by_brute_force(spark, edges, further):
+    def smaller(found):
+        return {r["node"]: r["component"] for r in found.collect() if r["node"] != r["component"]}
+    first, more = (spark.createDataFrame(e, "a bigint, b bigint") for e in (edges, further))
+    found = with_further_edges(components(first), more)
+    assert found.count() == len(smaller(found))
+    assert smaller(found) == smaller(components(first.union(more)))
+
+
+def test_further_edges_go_through_components_only(spark, written):
+    known = components(spark.range(10, 1000).selectExpr("id % 10 AS a", "id AS b"))
+    written.clear()
+    more = spark.createDataFrame([(998, 999), (13, 1003), (8, 9)], "a bigint, b bigint")
+    found = {r["node"]: r["component"] for r in with_further_edges(known, more).collect()}
+    assert found == {n: min(n % 10, 8) for n in range(9, 1000) if n > 9 or n % 10 == 9} | {1003: 3}
+    assert max(written[:-1]) <= 6
+
+
 def test_long_chains(spark):
     chain = spark.range(1, 200).selectExpr("id - 1 AS a", "id AS b")
     assert {r["component"] for r in components(chain).collect()} == {0}

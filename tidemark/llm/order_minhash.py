@@ -30,8 +30,8 @@ compared by the words that pairs share, and aligned where these leave the distan
 not in one class yet. A text with many candidates first looks for segments: of two texts within d changes,
 d + c disjoint segments of one have c that stand in the other as they are, since a change spoils one segment at
 most. So nobody is left out: every link inside a bucket is found, or its ends are in one class already; only links
-that unite classes leave a task. The number of pairs of blocks grows with the square of a crowded
-bucket, at some thousand members a block.
+that unite classes leave a task, as links between classes, and so only classes that they connect are gone through
+again. The number of pairs of blocks grows with the square of a crowded bucket, at up to a thousand members a block.
 Texts under four words have no changes within the limit: only equal ones are alike.
 """
 
@@ -47,7 +47,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, with_further_edges
 from tidemark.llm.shared import slices, texts_of
 from tidemark.sources.shared_folder import stored
 
@@ -78,7 +78,7 @@ FIRST_BAND = 16
 CELLS = 1 << 16
 #: Most texts and words of a block of members of crowded buckets, on average, and more blocks than a band has.
 BLOCK = 1024
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 200_000
 BANDS = 1 << 32
 
 
@@ -440,21 +440,21 @@ def verified(pairs, docs, similarity):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(name) for name in ("a", "b")], ["a", "b"]).filter(pa.array(ok))
 
-    # Rows that repeat as a whole are tested and listed once.
+    # Rows that repeat as a whole may list a pair again.
     return both.select("a", "b", "body_a", "body_b", "text_a", "text_b").mapInArrow(
-        tested, "a bigint, b bigint").distinct()
+        tested, "a bigint, b bigint")
 
 
 def across(members, similarity):
     """Pairs (`a`, `b`) of every member (`key`, `doc_id`, `n_words`, `class`) of a bucket and the
-    smallest member of each other class there."""
+    smallest member of each other class there, once for each bucket."""
     reps = stored(members.groupBy("key", "class").agg(
         F.min(F.struct("doc_id", "n_words")).alias("rep")).select(
         "key", F.col("class").alias("other"), F.col("rep.doc_id").alias("r"),
         F.col("rep.n_words").alias("r_words")), "omh-representatives")
     met = members.join(reps, "key").where(
         (F.col("class") != F.col("other")) & near_lengths(F.col("n_words"), F.col("r_words"), similarity))
-    return met.select(F.least("r", "doc_id").alias("a"), F.greatest("r", "doc_id").alias("b")).distinct()
+    return met.select(F.least("r", "doc_id").alias("a"), F.greatest("r", "doc_id").alias("b"))
 
 
 def with_classes(members, known):
@@ -470,13 +470,13 @@ def mixed_buckets(members):
 
 
 def crossed(members, similarity):
-    """All pairs (`a`, `b`) of members of a bucket that are in different classes."""
+    """All pairs (`a`, `b`) of members of a bucket that are in different classes, once for each bucket."""
     others = members.select("key", F.col("doc_id").alias("b"), F.col("n_words").alias("b_words"),
                             F.col("class").alias("other"))
     met = members.join(others, "key").where(
         (F.col("doc_id") < F.col("b")) & (F.col("class") != F.col("other"))
         & near_lengths(F.col("n_words"), F.col("b_words"), similarity))
-    return met.select(F.col("doc_id").alias("a"), "b").distinct()
+    return met.select(F.col("doc_id").alias("a"), "b")
 
 
 def deepened(members, docs, texts):
@@ -580,7 +580,7 @@ def uniting_links(texts, classes, first, similarity):
 
 
 def crowded_links(members, docs, texts, similarity):
-    """Links (`a`, `b`) that unite the classes of all alike members of a bucket.
+    """Classes (`a`, `b`) that alike members of a bucket unite, as links that reach all of them.
 
     Buckets with the same largest class are one group, so that copies which meet in many of them meet
     once. The members of a group are dealt to blocks by their length and id; every block is compared with itself and
@@ -624,15 +624,15 @@ def crowded_links(members, docs, texts, similarity):
         hashed, "doc_id bigint, words binary").distinct(), "omh-words")
 
     def compared(block):
-        ids, place = block.column("doc_id").to_numpy(), block.column("place").to_numpy()
+        classes, place = block.column("class").to_numpy(), block.column("place").to_numpy()
         found = [np.frombuffer(x, np.uint64) for x in block.column("words").to_pylist()]
-        links = uniting_links(found, block.column("class").to_numpy(),
+        links = uniting_links(found, classes,
                               None if (place == place[0]).all() else place == place.min(), similarity)
-        pairs = np.sort(ids[np.array(links, np.int64).reshape(-1, 2)], axis=1)
+        pairs = np.sort(classes[np.array(links, np.int64).reshape(-1, 2)], axis=1)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return dealt.join(shuffled(words), "doc_id").groupBy("group", "low", "high").applyInArrow(
-        compared, "a bigint, b bigint").distinct()
+        compared, "a bigint, b bigint")
 
 
 def near_duplicates(docs, similarity=SIMILARITY):
@@ -661,8 +661,7 @@ def near_duplicates(docs, similarity=SIMILARITY):
     first = shared.where((F.col("a") < F.col("doc_id"))
                          & near_lengths(F.col("n_words"), F.col("a_words"), similarity))
     first = stored(first.select("a", F.col("doc_id").alias("b")).distinct(), "omh-first")
-    links = stored(verified(possible(first, one_each, similarity), docs, similarity), "omh-links")
-    known = stored(components(links, "omh-classes"), "omh-classes")
+    known = components(verified(possible(first, one_each, similarity), docs, similarity), "omh-classes")
     # Buckets of several classes: their heads were strangers to some.
     left = stored(with_classes(shared, known), "omh-left")
     several = stored(mixed_buckets(left), "omh-mixed")
@@ -676,15 +675,14 @@ def near_duplicates(docs, similarity=SIMILARITY):
         across(deepened(many, docs, one_each), similarity)).distinct().join(
         first, ["a", "b"], "left_anti")
     pairs = stored(pairs, "omh-second")
-    more = stored(verified(possible(pairs, one_each, similarity), docs, similarity), "omh-links")
-    links = links.union(more)
-    classes = stored(components(links, "omh-classes"), "omh-classes")
+    more = verified(possible(pairs, one_each, similarity), docs, similarity)
+    classes = with_further_edges(known, more, "omh-classes")
     # Large buckets still of several classes: what no representative and no deeper key brought together.
     large = stored(with_classes(large.select("key", "doc_id", "n_words"), classes), "omh-left")
-    rest = stored(large.join(mixed_buckets(large).select("key"), "key"), "omh-rest")
+    several = large.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most"))
+    rest = stored(large.join(several.where("least < most").select("key"), "key"), "omh-rest")
     if not rest.isEmpty():
-        more = stored(crowded_links(rest, docs, one_each, similarity), "omh-links")
-        classes = stored(components(links.union(more), "omh-classes"), "omh-classes")
+        classes = with_further_edges(classes, crowded_links(rest, docs, one_each, similarity), "omh-classes")
     class_id = F.coalesce("component", "first")
     return members.join(classes, members["first"] == classes["node"], "left").select(
         "doc_id", class_id.alias("class_id"), (class_id == F.col("doc_id")).alias("kept"))
