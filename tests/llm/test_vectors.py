@@ -1,6 +1,7 @@
 """Nearest neighbours and similarity joins against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -92,6 +93,49 @@ def test_larger_factors_prune_more_and_recall_less(clustered, monkeypatch):
     assert recall[1] >= 0.9 and recall[2] < 1.0
 
 
+def test_several_parts_meet_and_nothing_is_copied_for_it(clustered, monkeypatch):
+    """Only what was found is shuffled: no block of queries is repeated for a shard."""
+    for name, most in {"SHARD": 30, "BLOCK": 16, "LEAF": 8, "TOGETHER": 2, "PARTS": 3, "PRODUCTS": 64}.items():
+        monkeypatch.setattr(vp_tree, name, most, raising=False)
+    df, rows = clustered
+    neighbours = vp_tree.nearest(df, "vec_id % 3 = 0", k=7)
+    plan = neighbours._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "CartesianProduct" in plan and "Generate" not in plan
+    found = {}
+    for r in neighbours.orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert found == brute_nearest(list(range(len(rows))), rows, range(0, len(rows), 3), 7)
+
+
+def test_a_search_goes_on_in_the_next_tree(monkeypatch):
+    """Scores that single precision does not tell apart, spread over trees, and ties by id."""
+    monkeypatch.setattr(vp_tree, "LEAF", 8)
+    angles = 0.5 + 1e-9 * np.random.default_rng(2).permutation(120)
+    rows = np.stack([np.cos(angles), np.sin(angles)], axis=1)
+    rows[::10] = rows[0]
+    query, found = np.array([[1.0, 0.0]]), vp_tree.nothing_found(1, 9)
+    for first in range(0, 120, 40):
+        ids = np.arange(first, first + 40)
+        vp_tree.VantageTree.build(ids, rows[ids]).search(np.array([3]), query, 9, 1.0, found)
+    scores = vp_tree.cosine(np.repeat(query, 120, axis=0), rows)
+    best = [i for i in np.lexsort((np.arange(120), -scores)) if i != 3][:9]
+    assert found[0][0].tolist() == best and found[1][0].tolist() == scores[best].tolist()
+
+
+def test_parcels_hold_every_vector_once(monkeypatch):
+    monkeypatch.setattr(vp_tree, "NUMBERS", 24)
+    vectors = [(i, [float(i)] * dim) for i, dim in enumerate([2, 3, 40, 2, 5, 2, 1, 3] * 6)]
+    batches = [pa.RecordBatch.from_pydict(
+        {"dim": pa.array([len(v) for _, v in part], pa.int32()), "vec_id": [i for i, _ in part],
+         "v": [v for _, v in part]}) for part in (vectors[:17], vectors[17:18], vectors[18:])]
+    parcels = list(vp_tree.parcels(iter(batches), 4))
+    assert sorted(i for _, ids, _ in parcels for i in ids.tolist()) == list(range(48))
+    for dim, ids, rows in parcels:
+        assert len(ids) == 1 or len(ids) <= 4 and rows.size <= 24
+        assert [(i, v) for i, v in zip(ids.tolist(), rows.tolist())] == [vectors[i] for i in ids]
+        assert rows.shape == (len(ids), dim)
+
+
 def test_awkward_vectors_have_no_neighbours(spark):
     df = spark.createDataFrame(AWKWARD, ROWS)
     found = vp_tree.nearest(df, "vec_id % 50 = 0", k=5).orderBy("query_id", "rank").collect()
